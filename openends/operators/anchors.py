@@ -73,14 +73,21 @@ def score_wide(
     by_theme = centroid_table.groupBy("theme").agg(
         F.map_from_entries(F.collect_list(F.struct("construct", "centroid"))).alias("_centroids")
     )
-    joined = segments.join(F.broadcast(by_theme), "theme", "left")
-    scores = {
-        f"anchor_{name}": vx.to_unit_interval(
-            vx.dot(F.col("vector"), F.try_element_at(F.col("_centroids"), F.lit(name)))
+    scores = F.map_from_entries(
+        F.transform(
+            F.map_entries("_centroids"),
+            lambda entry: F.struct(
+                entry["key"],
+                vx.to_unit_interval(vx.dot(F.col("vector"), entry["value"])),
+            ),
         )
-        for name in constructs
+    )
+    joined = segments.join(F.broadcast(by_theme), "theme", "left")
+    scored = joined.withColumn("_scores", scores).drop("_centroids")
+    columns = {
+        f"anchor_{name}": F.try_element_at(F.col("_scores"), F.lit(name)) for name in constructs
     }
-    return joined.withColumns(scores).drop("_centroids")
+    return scored.withColumns(columns).drop("_scores")
 
 
 def collect_centroids(

@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import itertools
 import logging
 from collections.abc import Sequence
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -62,25 +64,30 @@ def learning_curve(
     n_splits: int = 5,
     seed: int = 42,
     n_trees: int | None = None,
+    parallelism: int = 4,
 ) -> DataFrame:
     """Mean and population std of grouped accuracy per number of conversations.
 
     `cell_features` holds the ad features of all cells, computed by one plan; only
-    the model fits go cell by cell. A cell that cannot be scored is left out.
+    the model fits go cell by cell, `parallelism` cells at a time. A cell that cannot be scored is left out.
     """
-    scores = []
-    for n in grid:
-        for repeat in range(n_repeats):
-            cell = cell_features.filter((F.col("n_per_ad") == n) & (F.col("repeat") == repeat))
-            try:
-                result = train(
-                    cell.drop(*CELL), labels, task, model_name, n_splits, seed + repeat, n_trees
-                )
-            except ValueError as error:
-                log.warning("cell n=%d repeat=%d left out: %s", n, repeat, error)
-                continue
-            result.rows.unpersist()
-            scores.append((n, repeat, result.mean_score))
+
+    def cell_accuracy(cell: tuple[int, int]) -> tuple[int, int, float] | None:
+        n, repeat = cell
+        features = cell_features.filter((F.col("n_per_ad") == n) & (F.col("repeat") == repeat))
+        try:
+            result = train(
+                features.drop(*CELL), labels, task, model_name, n_splits, seed + repeat, n_trees
+            )
+        except ValueError as error:
+            log.warning("cell n=%d repeat=%d left out: %s", n, repeat, error)
+            return None
+        result.rows.unpersist()
+        return n, repeat, result.mean_score
+
+    with ThreadPoolExecutor(parallelism) as pool:
+        found = pool.map(cell_accuracy, itertools.product(grid, range(n_repeats)))
+        scores = [score for score in found if score is not None]
     table = cell_features.sparkSession.createDataFrame(
         scores, "n_conversations int, repeat int, accuracy double"
     )

@@ -58,19 +58,17 @@ def safe_corr(left: str, right: str) -> Column:
     return F.when(spread > 0, F.try_divide(F.covar_pop(left, right), spread))
 
 
-def with_rank(judged: DataFrame, value: str, rank: str) -> DataFrame:
-    """Add the average rank of `value` within the construct; frequent values are spread."""
-    ranks = average_ranks(judged, "construct", value, rank)
-    return attach_lookup(judged, ranks, ["construct", value], F.xxhash64("segment_id"), "inner")
-
-
 def judge_correlation(judged: DataFrame) -> DataFrame:
     """Rows, Pearson and Spearman correlation per construct.
 
-    Ranking reads the scores several times, so they are materialised first.
+    Ranking reads the scores several times, so they are materialised first. Ranks
+    come back by a join that spreads frequent scores.
     """
     judged = cut_lineage(judged.select("construct", "segment_id", "anchor_score", "judge_score"))
-    ranked = with_rank(with_rank(judged, "anchor_score", "anchor_rank"), "judge_score", "judge_rank")
+    ranked, row_hash = judged, F.xxhash64("segment_id")
+    for value, rank in (("anchor_score", "anchor_rank"), ("judge_score", "judge_rank")):
+        ranks = average_ranks(judged, "construct", value, rank)
+        ranked = attach_lookup(ranked, ranks, ["construct", value], row_hash, "inner")
     return ranked.groupBy("construct").agg(
         F.count(F.lit(1)).alias("n"),
         safe_corr("anchor_score", "judge_score").alias("pearson_r"),

@@ -64,35 +64,26 @@ def cell_of(coords: Column, cell_size: float) -> Column:
     return F.transform(coords, lambda x: F.floor(x / F.lit(cell_size)).cast("int"))
 
 
-def connected_cells(edges: DataFrame, cells: DataFrame) -> DataFrame:
+def connected_cells(edges: DataFrame, cells: DataFrame, hops: int = 4) -> DataFrame:
     """Label every cell with the smallest cell it is connected to.
 
-    Each round takes the smallest label among a cell and its neighbours and then
-    jumps to that label's own label, so long chains of cells close quickly. Labels
-    are written to the shared folder every round.
+    `edges` links each cell to itself and its neighbours, a fixed number at most,
+    so no key is hot. A round passes the smallest label on by `hops` cells and is
+    written to the shared folder; the number of rounds grows with the widest group,
+    not with the data.
     """
     labels = cells.select("cell", F.col("cell").alias("label"))
     while True:
-        offered = edges.join(
-            labels.select(F.col("cell").alias("other"), F.col("label").alias("offer")), "other"
-        )
-        best = offered.groupBy("cell").agg(F.min("offer").alias("offer"))
-        nearer = labels.join(best, "cell", "left").select(
-            "cell", "label", F.least("label", F.coalesce("offer", "label")).alias("nearer")
-        )
-        # Many cells share a label late in the loop, so the jump spreads hot labels.
-        uses = nearer.groupBy("nearer").agg(F.count(F.lit(1)).alias("n_rows"))
-        jumps = uses.join(
-            labels.select(F.col("cell").alias("nearer"), F.col("label").alias("jumped")), "nearer"
-        )
-        moved = cut_lineage(
-            attach_lookup(nearer, jumps, ["nearer"], F.xxhash64("cell"), "inner").select(
-                "cell", "label", F.least("nearer", "jumped").alias("new_label")
+        moved = labels.withColumn("before", F.col("label"))
+        for _ in range(hops):
+            offers = edges.join(moved.withColumnRenamed("cell", "other"), "other")
+            own = F.when(F.col("other") == F.col("cell"), F.col("before"))
+            moved = offers.groupBy("cell").agg(
+                F.min("label").alias("label"), F.max(own).alias("before")
             )
-        )
-        changed = not moved.filter(F.col("label") != F.col("new_label")).isEmpty()
-        labels = moved.select("cell", F.col("new_label").alias("label"))
-        if not changed:
+        moved = cut_lineage(moved)
+        labels = moved.select("cell", "label")
+        if moved.filter(F.col("label") != F.col("before")).isEmpty():
             return labels
 
 
@@ -117,8 +108,7 @@ def density_topics(
         .agg(F.count(F.lit(1)).alias("n_rows"))
         .filter(F.col("n_rows") >= min_points)
     )
-    steps = [step for step in itertools.product((-1, 0, 1), repeat=dim) if any(step)]
-    offsets = F.array(*[F.array(*[F.lit(d) for d in step]) for step in steps])
+    offsets = F.lit([list(step) for step in itertools.product((-1, 0, 1), repeat=dim)])
     position = F.transform(F.split("cell", ","), lambda x: x.cast("int"))
     neighbours = F.transform(
         offsets, lambda step: F.array_join(F.zip_with(position, step, lambda a, b: a + b), ",")

@@ -14,12 +14,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from openends.operators.ranks import shuffled_positions
+from openends.sources.shared import cut_lineage
 
 log = logging.getLogger("openends")
 
 # Columns of the ad table that are no model input.
 NOT_FEATURES = ["ad_id", "n_conversations"]
 MAX_DEPTH = 30
+ADS_PER_PARTITION = 5000
 
 
 @dataclass(frozen=True)
@@ -155,11 +157,16 @@ def training_rows(
 ) -> tuple[DataFrame, list[str]]:
     """(ad_id, target, label, fold, features) with the names of the inputs.
 
-    The table has one row per ad and is read by every fold, so it is cached.
+    The table has one row per ad. It is materialised before the folds are dealt
+    out, and cached for the fits; small tables get few partitions.
     """
     names = feature_names(features)
-    rows = labelled_features(features, task_labels(labels, task)).filter("target IS NOT NULL")
-    splits = _splits(rows.select("ad_id").distinct().count(), n_splits)
+    rows = cut_lineage(
+        labelled_features(features, task_labels(labels, task)).filter("target IS NOT NULL")
+    )
+    n_ads = rows.select("ad_id").distinct().count()
+    splits = _splits(n_ads, n_splits)
+    rows = rows.coalesce(n_ads // ADS_PER_PARTITION + 1)
     rows = rows.join(group_folds(rows, splits, seed), "ad_id")
     if task == "regression":
         rows = rows.withColumn("label", F.col("target").cast("double"))
@@ -169,7 +176,8 @@ def training_rows(
         )
         rows = indexer.fit(rows).transform(rows)
     assembled = VectorAssembler(inputCols=names, outputCol="features").transform(rows)
-    return assembled.select("ad_id", "target", "label", "fold", "features").cache(), names
+    kept = assembled.select("ad_id", "target", "label", "fold", "features")
+    return kept.coalesce(n_ads // ADS_PER_PARTITION + 1).cache(), names
 
 
 def train(
