@@ -7,7 +7,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from openends.functions import text as tx
@@ -42,38 +42,32 @@ def quality_gate(
     """Add norm_text, token_count, the four flags and `quarantined`.
 
     Copies are counted in two steps. The first counts rows per respondent, ad,
-    theme and text digest with map-side combining; both copy checks roll up that
-    one shuffled result. Only texts that do repeat are then joined back, with hot
-    texts spread over tasks.
+    theme and text digest with map-side combining. Both copy checks ask for the
+    same columns of it and so roll up the same shuffled result. Only texts that do
+    repeat are then joined back, with hot texts spread over tasks.
 
     `distinct_respondents` counts respondents instead of rows in the
     cross-respondent check. `within` keeps resampling cells apart.
     """
     within = list(within)
     rows = text_features(segments).withColumn("_digest", tx.digest(F.col("norm_text")))
-    counted = (
-        rows.filter(F.length("norm_text") > 0)
-        .groupBy(*within, "theme", "_digest", "respondent_id", "ad_id")
-        .agg(F.count(F.lit(1)).alias("n"), F.max(F.length("norm_text")).alias("norm_len"))
+    counted = rows.groupBy(*within, "theme", "_digest", "respondent_id", "ad_id").agg(
+        F.count(F.lit(1)).alias("n"), F.max(F.length("norm_text")).alias("norm_len")
     )
-    same_respondent = (
-        counted.groupBy(*within, "theme", "_digest", "respondent_id")
-        .agg(F.sum("n").alias("n_rows"))
-        .filter(F.col("n_rows") > 1)
-        .withColumn("_same_respondent", F.lit(True))
-    )
-    repeats = F.count(F.lit(1)) if distinct_respondents else F.sum("n")
-    same_ad = (
-        counted.groupBy(*within, "theme", "_digest", "ad_id")
-        .agg(
+
+    def repeated(by: str, min_len: int, repeats: Column, mark: str) -> DataFrame:
+        keys = [*within, "theme", "_digest", by]
+        totals = counted.groupBy(*keys).agg(
             F.sum("n").alias("n_rows"),
             repeats.alias("n_repeats"),
             F.max("norm_len").alias("norm_len"),
         )
-        .filter((F.col("n_repeats") > 1) & (F.col("norm_len") >= near_duplicate_min_len))
-        .select(*within, "theme", "_digest", "ad_id", "n_rows")
-        .withColumn("_same_ad", F.lit(True))
-    )
+        found = (F.col("n_repeats") > 1) & (F.col("norm_len") >= min_len)
+        return totals.filter(found).select(*keys, "n_rows", F.lit(True).alias(mark))
+
+    same_respondent = repeated("respondent_id", 1, F.sum("n"), "_same_respondent")
+    repeats = F.count(F.lit(1)) if distinct_respondents else F.sum("n")
+    same_ad = repeated("ad_id", near_duplicate_min_len, repeats, "_same_ad")
     row_hash = F.xxhash64("segment_id", "row_seq")
     marked = attach_lookup(
         rows,

@@ -22,17 +22,15 @@ def respondent_features(
 
     A construct is scored on one theme, so the mean over a conversation's themes
     just recovers that one score. Metadata comes from the conversation's first
-    row. All of it is one aggregate with map-side combining.
+    row. All of it is one aggregate with map-side combining; a plan that does not
+    ask for the text columns aggregates numbers only.
     """
     rows = scoreable(scored) if exclude_quarantined else scored
-    first = F.min_by(F.struct("order_shown", "brand", "platform"), F.col("row_seq"))
-    rolled = rows.groupBy(*within, "respondent_id", "ad_id").agg(
+    return rows.groupBy(*within, "respondent_id", "ad_id").agg(
         *[F.avg(c).alias(c) for c in score_columns(scored)],
         F.count(F.lit(1)).alias("n_themes_scored"),
-        first.alias("_first"),
+        *[F.min_by(c, "row_seq").alias(c) for c in ("order_shown", "brand", "platform")],
     )
-    meta = [F.col(f"_first.{c}").alias(c) for c in ("order_shown", "brand", "platform")]
-    return rolled.select("*", *meta).drop("_first")
 
 
 def ad_features(conversations: DataFrame, within: Sequence[str] = ()) -> DataFrame:

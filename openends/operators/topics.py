@@ -33,30 +33,22 @@ def reduce_pca(vectors: DataFrame, dim: int, column: str = "vector") -> DataFram
     )
 
 
-def drop_small_topics(assigned: DataFrame, min_cluster_size: int) -> DataFrame:
-    """Turn topics with too few segments into noise.
-
-    The kept topics number at most rows / min_cluster_size and, for k-means, at
-    most k; sizes are joined back, not windowed, so a huge topic is no hot group.
-    """
-    sizes = assigned.groupBy("topic_id").agg(F.count(F.lit(1)).alias("n_rows"))
-    kept = sizes.filter(
-        (F.col("topic_id") != NOISE) & (F.col("n_rows") >= min_cluster_size)
-    ).withColumn("_kept", F.lit(True))
-    row_hash = F.xxhash64("segment_id")
-    joined = attach_lookup(assigned, kept, ["topic_id"], row_hash)
-    topic = F.when(F.col("_kept"), F.col("topic_id")).otherwise(F.lit(NOISE))
-    return joined.withColumn("topic_id", topic).drop("_kept")
-
-
 def kmeans_topics(
     points: DataFrame, k: int, min_cluster_size: int = 8, seed: int = 42
 ) -> DataFrame:
     """Assign every point to one of k groups by its `coords`; small groups are noise."""
     features = points.withColumn("_coords", array_to_vector("coords"))
-    model = KMeans(k=k, seed=seed, featuresCol="_coords", predictionCol="topic_id").fit(features)
+    model = KMeans(k=k, seed=seed, featuresCol="_coords", predictionCol="_group").fit(features)
     assigned = model.transform(features).drop("_coords")
-    return drop_small_topics(assigned, min_cluster_size)
+    large = (
+        assigned.groupBy("_group")
+        .agg(F.count(F.lit(1)).alias("_size"))
+        .filter(F.col("_size") >= min_cluster_size)
+        .select("_group", F.col("_group").alias("topic_id"))
+    )
+    # At most k rows.
+    named = assigned.join(F.broadcast(large), "_group", "left").drop("_group")
+    return named.withColumn("topic_id", F.coalesce("topic_id", F.lit(NOISE)))
 
 
 def cell_of(coords: Column, cell_size: float) -> Column:
@@ -119,12 +111,17 @@ def density_topics(
         )
     )
     topics = connected_cells(edges, dense).join(dense, "cell")
+    sizes = topics.groupBy("label").agg(
+        F.sum("n_rows").alias("size"), F.count(F.lit(1)).alias("n_rows")
+    )
+    large = sizes.filter(F.col("size") >= min_cluster_size).drop("size")
     # 52 bits stay exact wherever an id ends up as a floating point number.
     topic_id = F.conv(F.substring(F.md5("label"), 1, 13), 16, 10).cast("bigint")
-    lookup = topics.select("cell", "n_rows", topic_id.alias("topic_id"))
+    lookup = attach_lookup(topics, large, ["label"], F.xxhash64("cell"), "inner").select(
+        "cell", "n_rows", topic_id.alias("topic_id")
+    )
     joined = attach_lookup(placed, lookup, ["cell"], F.xxhash64("segment_id"))
-    assigned = joined.withColumn("topic_id", F.coalesce("topic_id", F.lit(NOISE))).drop("cell")
-    return drop_small_topics(assigned, min_cluster_size)
+    return joined.withColumn("topic_id", F.coalesce("topic_id", F.lit(NOISE))).drop("cell")
 
 
 def topic_shares(assigned: DataFrame) -> DataFrame:

@@ -102,8 +102,9 @@ def predict(
     study.calibration.check()
     active_themes(study.themes)
     encoder = encoder or built_in_encoder(study)
-    responses = response_tables.load_responses(raw, study.themes, row_order)
+    response_tables.check_columns(raw.columns, study.themes)
     response_tables.check_order(raw)
+    responses = response_tables.load_responses(raw, study.themes, row_order)
 
     flagged = cut_lineage(flagged_segments(responses, study))
     embedded = embed_segments(segments.scoreable(flagged), encoder, cache_path)
