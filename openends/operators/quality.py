@@ -50,8 +50,13 @@ def quality_gate(
     cross-respondent check. `within` keeps resampling cells apart.
     """
     within = list(within)
-    rows = text_features(segments).withColumn("_digest", tx.digest(F.col("norm_text")))
-    counted = rows.groupBy(*within, "theme", "_digest", "respondent_id", "ad_id").agg(
+    # The coalesce and the filter state what the joins below need: no key is NULL.
+    # Spark would otherwise add its own checks per join, and the two roll-ups could
+    # no longer share one shuffle.
+    digest = F.coalesce(tx.digest(F.col("norm_text")), F.lit(b""))
+    rows = text_features(segments).withColumn("_digest", digest)
+    keyed = rows.filter("theme IS NOT NULL AND respondent_id IS NOT NULL AND ad_id IS NOT NULL")
+    counted = keyed.groupBy(*within, "theme", "_digest", "respondent_id", "ad_id").agg(
         F.count(F.lit(1)).alias("n"), F.max(F.length("norm_text")).alias("norm_len")
     )
 
