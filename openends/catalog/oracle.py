@@ -395,6 +395,11 @@ def oracle() -> dict[str, str]:
         "SELECT o || CASE WHEN conv_id % 3 = 0 THEN '.7' ELSE '' END AS order_text, "
         "count(*) AS n_rows, count(DISTINCT conv_id) AS n_respondents FROM r GROUP BY 1"
     )
+    sql["append_round_trip"] = (
+        "WITH r AS (SELECT DISTINCT conv_id, turn // 5 + 1 AS o FROM conversations) "
+        "SELECT o AS order_shown, count(*) AS n_rows, count(DISTINCT conv_id) AS n_respondents "
+        "FROM r GROUP BY 1"
+    )
     sql["segments_long"] = (
         f"WITH {SEGMENTS} SELECT segment_id, {keys}, theme, text FROM segments"
     )
@@ -471,6 +476,11 @@ def oracle() -> dict[str, str]:
     ), kept AS (SELECT key, v FROM merged QUALIFY row_number() OVER (
       PARTITION BY key ORDER BY batch DESC) = 1)
     SELECT key, unnest(range(len(v))) AS pos, round(unnest(v)::DOUBLE, 6) AS value FROM kept"""
+    sql["cached_embedding"] = f"""WITH {SEGMENTS}, {gate('segments')}, ok AS (
+      SELECT * FROM qc WHERE NOT quarantined
+    ), {sparse('v', 'ok', 'segment_id')}
+    SELECT segment_id, b AS pos, round(w::FLOAT::DOUBLE, 6) AS value FROM v
+    WHERE round(w, 6) <> 0"""
     sql["construct_centroids"] = (
         f"WITH {VECTORS} SELECT construct, pos, round(w, 6) AS value FROM vcent"
     )
@@ -514,6 +524,7 @@ def oracle() -> dict[str, str]:
     sql["ad_features_vectors"] = f"""WITH {VECTOR_SCORES}, stats AS (
       SELECT ad_id, {wide_stats(VECTOR_NAMES)} FROM score GROUP BY 1
     ), orders AS ({ad_stats('vsegs')}) SELECT * FROM orders LEFT JOIN stats USING (ad_id)"""
+    sql["features_round_trip"] = sql["ad_features_vectors"]
     sql["order_shown_stats"] = f"WITH {CONVERSATIONS} {ad_stats('conversations_ok')}"
     sql["first_metadata"] = f"""WITH {DOCS}, {gate('docs')}, firsts AS (
       SELECT respondent_id, ad_id, count(*) AS n_themes_scored, min(doc_id) AS d
@@ -594,6 +605,10 @@ def oracle() -> dict[str, str]:
     sql["strong_weak_target"] = (
         f"WITH {LABELS} SELECT ad_id, band AS target FROM lab WHERE band <> 'Average'"
     )
+    sql["label_encoding"] = (
+        f"WITH {LABELS} SELECT ad_id, band AS target, dense_rank() OVER (ORDER BY band) - 1 "
+        "AS label FROM lab"
+    )
     sql["group_folds"] = f"""WITH {LABELS} SELECT ad_id,
       (row_number() OVER (ORDER BY md5('42|' || ad_id), ad_id) - 1) % 5 AS fold FROM lab"""
     sql["balanced_weights"] = f"""WITH {LABELS} SELECT ad_id, band AS target,

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import dataclasses
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -29,7 +30,7 @@ from openends.operators import (
 from openends.plans import diagnostics as diagnostic_plan
 from openends.plans import predict as predict_plan
 from openends.plans import train as train_plan
-from openends.sources import cache, labels, responses
+from openends.sources import cache, labels, outputs, responses, shared
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -120,6 +121,23 @@ def append_responses(spark, sf_dir):
     )
 
 
+def scratch(spark: SparkSession, name: str) -> str:
+    """A new folder next to the checkpoints, which all executors share."""
+    return f"{shared.checkpoint_folder(spark)}/{name}-{uuid.uuid4().hex}"
+
+
+@query
+def append_round_trip(spark, sf_dir):
+    raw, path = t.raw_responses(spark, sf_dir), scratch(spark, "responses")
+    late = F.col("Order Shown").startswith(" 2")
+    responses.append_responses(raw.filter(~late), path, STUDY.themes)
+    responses.append_responses(raw.filter(late), path, STUDY.themes)
+    stored = responses.load_responses(responses.read_table(spark, path), STUDY.themes)
+    return stored.groupBy("order_shown").agg(
+        F.count(F.lit(1)).alias("n_rows"), F.count_distinct("respondent_id").alias("n_respondents")
+    ).transform(big, "order_shown")
+
+
 @query
 def segments_long(spark, sf_dir):
     df = long_segments(spark, sf_dir)
@@ -184,7 +202,9 @@ def ads_fully_quarantined(spark, sf_dir):
 
 
 def exploded(df: DataFrame, key: str, column: str) -> DataFrame:
-    return df.select(key, F.posexplode(column).alias("pos", "value")).select(
+    # The outer form: for the inner one Spark adds a filter that asks for a vector
+    # that is not empty, and so computes every vector once more.
+    return df.select(key, F.posexplode_outer(column).alias("pos", "value")).select(
         key, F.col("pos").cast("bigint").alias("pos"), r6("value").alias("value")
     )
 
@@ -266,6 +286,13 @@ def cache_upsert(spark, sf_dir):
     return exploded(cache.upsert(old, new), "key", "vector")
 
 
+@query
+def cached_embedding(spark, sf_dir):
+    rows = segments.scoreable(flagged(spark, sf_dir))
+    df = encode.embed_segments(rows, ENCODER, scratch(spark, "vectors"))
+    return exploded(df, "segment_id", "vector").filter("value != 0")
+
+
 # --- anchors and scores --------------------------------------------------------
 
 
@@ -549,6 +576,12 @@ def strong_weak_target(spark, sf_dir):
     return training.task_labels(ad_labels(spark, sf_dir).drop("score"), "binary")
 
 
+@query
+def label_encoding(spark, sf_dir):
+    rows = training.task_labels(ad_labels(spark, sf_dir), "3class")
+    return training.encode_target(rows).withColumn("label", F.col("label").cast("bigint"))
+
+
 @query
 def group_folds(spark, sf_dir):
     return big(training.group_folds(ad_labels(spark, sf_dir), 5), "fold")
@@ -697,6 +730,13 @@ def diagnostics(spark, sf_dir):
     )
 
 
+@query
+def features_round_trip(spark, sf_dir):
+    path = scratch(spark, "ad_features.csv")
+    outputs.write_csv(vector_ads(spark, sf_dir), path)
+    return big(rounded(outputs.read_features(spark, path)), "n_conversations")
+
+
 @query
 def predict_run(spark, sf_dir):
     result = predict_plan.predict(t.raw_responses(spark, sf_dir), STUDY)

@@ -138,7 +138,9 @@ def embed_segments(
         tx.content_key(F.col("text"), settings.model, settings.dim, settings.instruction),
     )
     row_hash = F.xxhash64("segment_id", "row_seq")
-    return attach_lookup(keyed, vectors.drop("text"), ["key"], row_hash).drop("key")
+    sizes = wanted.select("key", "n_rows")
+    joined = attach_lookup(keyed, vectors.drop("text"), ["key"], row_hash, sizes=sizes)
+    return joined.drop("key")
 
 
 def check_dimension(vectors: DataFrame, dim: int) -> DataFrame:

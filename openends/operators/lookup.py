@@ -18,6 +18,7 @@ def attach_lookup(
     row_hash: Column,
     how: str = "left",
     rows_per_slice: int = ROWS_PER_SLICE,
+    sizes: DataFrame | None = None,
 ) -> DataFrame:
     """Join `rows` to `lookup` (unique on `on`), spreading hot keys.
 
@@ -28,17 +29,19 @@ def attach_lookup(
     `rows_per_slice` rows of one key.
 
     Only keys with more than one slice are broadcast, to tell the rows their
-    number of slices. There are fewer than N / rows_per_slice such keys for N
+    number of slices; `sizes` gives keys and `n_rows` for that where the lookup
+    itself is costly to compute. There are fewer than N / rows_per_slice such keys for N
     rows, whatever the data: below 10^6 narrow rows for 10^12 rows.
     """
     on = list(on)
-    slices = F.ceil(F.col("n_rows") / F.lit(rows_per_slice)).cast("int")
-    sized = lookup.withColumn("_slices", slices)
-    hot = sized.filter(F.col("n_rows") > rows_per_slice).select(*on, "_slices")
-    spread_rows = rows.join(F.broadcast(hot), on, "left").withColumn(
+    slices = F.ceil(F.col("n_rows") / F.lit(rows_per_slice)).cast("int").alias("_slices")
+    hot = (lookup if sizes is None else sizes).filter(F.col("n_rows") > rows_per_slice)
+    spread_rows = rows.join(F.broadcast(hot.select(*on, slices)), on, "left").withColumn(
         "_slice", F.pmod(row_hash, F.coalesce(F.col("_slices"), F.lit(1))).cast("int")
     )
-    spread_lookup = sized.withColumn(
-        "_slice", F.explode(F.sequence(F.lit(0), F.col("_slices") - 1))
-    ).drop("_slices", "n_rows")
+    spread_lookup = (
+        lookup.select("*", slices)
+        .withColumn("_slice", F.explode(F.sequence(F.lit(0), F.col("_slices") - 1)))
+        .drop("_slices", "n_rows")
+    )
     return spread_rows.drop("_slices").join(spread_lookup, [*on, "_slice"], how).drop("_slice")

@@ -52,9 +52,11 @@ def ad_features(conversations: DataFrame, within: Sequence[str] = ()) -> DataFra
     )
 
 
-def with_topic_shares(ads: DataFrame, shares_wide: DataFrame) -> DataFrame:
+def with_topic_shares(
+    ads: DataFrame, shares_wide: DataFrame, within: Sequence[str] = ()
+) -> DataFrame:
     """Add topic shares; an ad without topics keeps NULL shares."""
-    return ads.join(shares_wide, "ad_id", "left")
+    return ads.join(shares_wide, [*within, "ad_id"], "left")
 
 
 def construct_scores(scores_long: DataFrame) -> DataFrame:

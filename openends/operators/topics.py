@@ -124,26 +124,35 @@ def density_topics(
     return joined.withColumn("topic_id", F.coalesce("topic_id", F.lit(NOISE))).drop("cell")
 
 
-def topic_shares(assigned: DataFrame) -> DataFrame:
+def topic_shares(assigned: DataFrame, within: Sequence[str] = ()) -> DataFrame:
     """Share of each topic among an ad's topical segments."""
     counts = (
         assigned.filter(F.col("topic_id") != NOISE)
-        .groupBy("ad_id", "topic_id")
+        .groupBy(*within, "ad_id", "topic_id")
         .agg(F.count(F.lit(1)).alias("n_segments"))
     )
-    total = F.sum("n_segments").over(Window.partitionBy("ad_id"))
+    total = F.sum("n_segments").over(Window.partitionBy(*within, "ad_id"))
     return counts.withColumn("share", F.col("n_segments") / total)
 
 
-def topic_shares_wide(shares: DataFrame, topic_ids: Sequence[int]) -> DataFrame:
+def topic_shares_wide(
+    shares: DataFrame, topic_ids: Sequence[int], within: Sequence[str] = ()
+) -> DataFrame:
     """One topic_share_<id> column per given topic; 0 where an ad lacks the topic."""
-    wide = shares.groupBy("ad_id").pivot("topic_id", list(topic_ids)).agg(F.max("share"))
+    keys = [*within, "ad_id"]
+    wide = shares.groupBy(*keys).pivot("topic_id", list(topic_ids)).agg(F.max("share"))
     return wide.select(
-        "ad_id",
+        *keys,
         *[F.coalesce(F.col(f"`{t}`"), F.lit(0.0)).alias(f"topic_share_{t}") for t in topic_ids],
     )
 
 
+def topic_ids(assigned: DataFrame) -> list[int]:
+    """Topics that were found, noise aside; with k-means at most k."""
+    found = assigned.filter(F.col("topic_id") != NOISE).select("topic_id").distinct()
+    return [r.topic_id for r in found.orderBy("topic_id").collect()]
+
+
 def topic_summary(assigned: DataFrame) -> DataFrame:
     """Number of topics, and of unassigned and all segments."""
     topic = F.when(F.col("topic_id") != NOISE, F.col("topic_id"))
@@ -166,7 +175,9 @@ def topic_terms(
     if stop_words is None:
         stop_words = StopWordsRemover.loadDefaultStopWords("english")
     topical = assigned.filter(F.col("topic_id") != NOISE)
-    words = topical.select("topic_id", F.explode(tx.terms(F.col("text"))).alias("term"))
+    # The outer form spares a filter that would split every text a second time; texts
+    # without terms give a NULL term, which the stop word filter drops.
+    words = topical.select("topic_id", F.explode_outer(tx.terms(F.col("text"))).alias("term"))
     counted = (
         words.filter(~F.col("term").isin(list(stop_words)))
         .groupBy("topic_id", "term")

@@ -77,6 +77,12 @@ def task_labels(labels: DataFrame, task: str) -> DataFrame:
     return labels.select("ad_id", top.alias("target"))
 
 
+def encode_target(rows: DataFrame) -> DataFrame:
+    """Add `label`: the target's position among the sorted targets."""
+    indexer = StringIndexer(inputCol="target", outputCol="label", stringOrderType="alphabetAsc")
+    return indexer.fit(rows).transform(rows)
+
+
 def group_folds(ads: DataFrame, n_splits: int, seed: int = 42) -> DataFrame:
     """A fold per distinct ad: seeded order, dealt out in turn, sizes differ by one."""
     positions = shuffled_positions(ads.select("ad_id").distinct(), "ad_id", seed, "position")
@@ -171,10 +177,7 @@ def training_rows(
     if task == "regression":
         rows = rows.withColumn("label", F.col("target").cast("double"))
     else:
-        indexer = StringIndexer(
-            inputCol="target", outputCol="label", stringOrderType="alphabetAsc"
-        )
-        rows = indexer.fit(rows).transform(rows)
+        rows = encode_target(rows)
     assembled = VectorAssembler(inputCols=names, outputCol="features").transform(rows)
     kept = assembled.select("ad_id", "target", "label", "fold", "features")
     return kept.coalesce(n_ads // ADS_PER_PARTITION + 1).cache(), names

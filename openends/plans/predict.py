@@ -64,7 +64,7 @@ def scored_segments(embedded: DataFrame, study: Study, encoder: EncoderSettings)
 def discover(embedded: DataFrame, study: Study) -> DataFrame:
     """Topic per scoreable segment."""
     points = topics.reduce_pca(embedded, study.reduced_dim).select(
-        "segment_id", "ad_id", "text", "coords"
+        "segment_id", "row_seq", "ad_id", "text", "coords"
     )
     assigned = topics.kmeans_topics(
         cut_lineage(points), study.topics, study.min_cluster_size, study.seed
@@ -121,10 +121,7 @@ def predict(
         assigned = discover(embedded, study)
         labels = topics.topic_labels(topics.topic_terms(assigned))
         shares = topics.topic_shares(assigned)
-        # At most `study.topics` ids.
-        ids = [
-            r.topic_id for r in shares.select("topic_id").distinct().orderBy("topic_id").collect()
-        ]
+        ids = topics.topic_ids(assigned)
         ads = rollup.with_topic_shares(ads, topics.topic_shares_wide(shares, ids))
     return PredictResult(
         segments=flagged,

@@ -8,7 +8,7 @@ from dataclasses import dataclass, field
 from pyspark.sql import DataFrame
 
 from openends.config import Study
-from openends.operators import curve, drivers, rollup, segments, training
+from openends.operators import curve, drivers, rollup, segments, topics, training
 from openends.operators.encode import EncoderSettings, embed_segments
 from openends.plans.predict import (
     PredictResult,
@@ -38,12 +38,14 @@ def curve_features(
     study: Study,
     encoder: EncoderSettings | None = None,
     cache_path: str | None = None,
+    topic_of: DataFrame | None = None,
 ) -> DataFrame:
     """Ad features of all (n_per_ad, repeat) cells in one plan.
 
     A sampled segment is encoded and scored once, whatever the number of cells it
     is in. Copies are then flagged within each cell, as a study of that size would
-    have flagged them.
+    have flagged them. `topic_of` (segment_id, row_seq, topic_id) adds the topic
+    shares within each cell, for topics found on all answers.
     """
     encoder = encoder or built_in_encoder(study)
     grid, cell = study.conversations_grid, curve.CELL
@@ -57,7 +59,16 @@ def curve_features(
     scores = cut_lineage(scored.select(*keys, *rollup.score_columns(scored)))
     flagged = flagged_segments(curve.with_cells(responses, sample, grid), study, within=cell)
     rows = segments.scoreable(flagged).join(scores, keys)
-    return rollup.ad_features(rollup.respondent_features(rows, within=cell), within=cell)
+    ads = rollup.ad_features(rollup.respondent_features(rows, within=cell), within=cell)
+    if topic_of is None:
+        return ads
+    topical = rows.select(*cell, *keys, "ad_id").join(
+        topic_of.select(*keys, "topic_id"), keys
+    )
+    wide = topics.topic_shares_wide(
+        topics.topic_shares(topical, cell), topics.topic_ids(topic_of), cell
+    )
+    return rollup.with_topic_shares(ads, wide, cell)
 
 
 def train_run(
@@ -93,7 +104,7 @@ def train_run(
     learned = None
     if with_curve:
         responses = response_tables.load_responses(raw, study.themes)
-        cells = cut_lineage(curve_features(responses, study, encoder, cache_path))
+        cells = cut_lineage(curve_features(responses, study, encoder, cache_path, prediction.topics))
         learned = curve.learning_curve(
             cells, labels, study.conversations_grid, study.n_repeats,
             model_name=study.model_name, n_splits=study.n_splits, seed=study.seed,

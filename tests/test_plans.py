@@ -117,6 +117,19 @@ def test_curve_scores_each_sampled_segment_once(spark, raw):
     assert all(r.n_conversations <= r.n_per_ad for r in rows)
 
 
+def test_curve_has_topic_shares_of_its_cells(raw, prediction):
+    from openends.sources import responses
+
+    df = responses.load_responses(raw, SMALL.themes)
+    cells = train_plan.curve_features(df, SMALL, topic_of=prediction.topics)
+    shares = [c for c in cells.columns if c.startswith("topic_share_")]
+    wanted = [c for c in prediction.ad_features.columns if c.startswith("topic_share_")]
+    assert shares == wanted
+    for row in cells.collect():
+        found = [row[c] for c in shares]
+        assert all(x is None for x in found) or sum(found) == pytest.approx(1)
+
+
 def test_entry_and_catalog_are_consistent(spark):
     df = spark_entry.entry(spark)
     assert df.columns == ["ad_id", "construct", "score_mean", "score_std", "n_scores"]
@@ -128,6 +141,7 @@ def test_no_query_has_a_cross_join(spark, sf_dir):
     fitted = {
         "classifier_cv", "binary_cv", "regressor_cv", "driver_importance", "learning_curve",
         "train_scores", "predict_run", "topics_density", "topics_kmeans",
+        "append_round_trip", "features_round_trip", "cached_embedding",
     }
     for name, build in spark_entry.queries().items():
         if name not in fitted:

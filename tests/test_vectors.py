@@ -122,6 +122,9 @@ def test_each_distinct_text_is_encoded_once_and_then_cached(spark, tmp_path):
         return np.stack([reference_vector(t, 16) for t in texts])
 
     settings = EncoderSettings("m", 16, counting)
+    assert len(vectors_of(encode.embed_segments(text_rows(spark), settings))) == len(TEXTS)
+    assert sorted(log.read_text().split()) == sorted(" ".join({*TEXTS}).split())
+    log.write_text("")
     path = str(tmp_path / "cache")
     first = vectors_of(encode.embed_segments(text_rows(spark), settings, path))
     assert Counter(log.read_text().split("\n"))["the dog ran"] == 1
