@@ -24,9 +24,15 @@ def parse_reply(raw: Column) -> Column:
 
 
 def judged_segments(
-    segments: DataFrame, scores: DataFrame, replies: DataFrame, constructs: Sequence[str]
+    segments: DataFrame | None,
+    scores: DataFrame,
+    replies: DataFrame,
+    constructs: Sequence[str],
 ) -> DataFrame:
-    """Segments with text, their anchor score and the judge's score, where both exist."""
+    """Segments with text, their anchor score and the judge's score, where both exist.
+
+    Without `segments` all scored segments are taken to have text.
+    """
     known = [c for c in scores.columns if c.startswith("anchor_")]
     unknown = [c for c in constructs if f"anchor_{c}" not in known]
     if unknown:
@@ -37,15 +43,14 @@ def judged_segments(
     named = long.select(
         "segment_id", F.substring("column", 8, 1000).alias("construct"), "anchor_score"
     )
-    with_text = segments.filter(F.length("text") > 0).select("segment_id")
+    if segments is not None:
+        with_text = segments.filter(F.length("text") > 0).select("segment_id")
+        named = named.join(with_text, "segment_id")
     judged = replies.select(
         "segment_id", "construct", parse_reply(F.col("raw")).alias("judge_score")
     )
-    return (
-        named.join(with_text, "segment_id")
-        .join(judged, ["segment_id", "construct"])
-        .filter(F.col("anchor_score").isNotNull() & F.col("judge_score").isNotNull())
-    )
+    both = F.col("anchor_score").isNotNull() & F.col("judge_score").isNotNull()
+    return named.join(judged, ["segment_id", "construct"]).filter(both)
 
 
 def safe_corr(left: str, right: str) -> Column:

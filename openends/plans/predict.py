@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from openends.config import Study, active_themes
+from openends.functions import text as tx
 from openends.operators import anchors, judge, quality, ranks, rollup, segments, topics
 from openends.operators.encode import EncoderSettings, embed_segments, encode_texts
 from openends.sources import responses as response_tables
@@ -16,6 +17,8 @@ from openends.sources.shared import cut_lineage
 
 log = logging.getLogger("openends")
 
+SCORED_COLUMNS = ["segment_id", *segments.ROW_COLUMNS, "theme", "quarantined"]
+
 
 @dataclass(frozen=True)
 class PredictResult:
@@ -62,14 +65,13 @@ def scored_segments(embedded: DataFrame, study: Study, encoder: EncoderSettings)
 
 
 def discover(embedded: DataFrame, study: Study) -> DataFrame:
-    """Topic per scoreable segment."""
-    points = topics.reduce_pca(embedded, study.reduced_dim).select(
-        "segment_id", "row_seq", "ad_id", "text", "coords"
-    )
-    assigned = topics.kmeans_topics(
-        cut_lineage(points), study.topics, study.min_cluster_size, study.seed
-    )
-    return cut_lineage(assigned.drop("coords"))
+    """Topic per scoreable segment, with its text for the labels.
+
+    The fits read the vectors only; k-means keeps its own reduced copy meanwhile.
+    """
+    points = topics.reduce_pca(embedded, study.reduced_dim).drop("vector")
+    assigned = topics.kmeans_topics(points, study.topics, study.min_cluster_size, study.seed)
+    return assigned.select("segment_id", "row_seq", "ad_id", "topic_id", "text")
 
 
 def judge_report(
@@ -77,7 +79,7 @@ def judge_report(
 ) -> DataFrame:
     """Correlation with the judge on a seeded sample of segments per construct."""
     names = list(study.judge_constructs)
-    judged = judge.judged_segments(scored, scored, replies, names)
+    judged = judge.judged_segments(None, scored, replies, names)
     if sample:
         judged = ranks.sample_per_group(
             judged, ["construct"], ["segment_id"], study.judge_sample_size, study.seed
@@ -95,9 +97,9 @@ def predict(
 ) -> PredictResult:
     """Run the study on a raw response table.
 
-    Settings are checked before any data is read. Segments with vectors are
-    materialised once in the shared folder: scoring, the principal components and
-    the topics all read them, and nothing is encoded twice.
+    Settings are checked before any data is read. What is read more than once is
+    materialised in the shared folder: the flagged segments, the vectors if topics
+    need them, and the scores without texts. Nothing is encoded twice.
     """
     study.calibration.check()
     active_themes(study.themes)
@@ -106,11 +108,13 @@ def predict(
     response_tables.check_order(raw)
     responses = response_tables.load_responses(raw, study.themes, row_order)
 
-    flagged = cut_lineage(flagged_segments(responses, study))
-    embedded = embed_segments(segments.scoreable(flagged), encoder, cache_path)
+    # The form used to find copies is as long as the text; it is cheaper to redo.
+    flagged = cut_lineage(flagged_segments(responses, study).drop("norm_text"))
+    usable = segments.scoreable(flagged).select(*SCORED_COLUMNS, "text")
+    embedded = embed_segments(usable, encoder, cache_path)
     if study.run_discovery:
         embedded = cut_lineage(embedded)
-    scored = cut_lineage(scored_segments(embedded, study, encoder))
+    scored = cut_lineage(scored_segments(embedded.drop("text"), study, encoder))
 
     # Quarantined segments have no score; they only count when asked for.
     rows = scored if study.exclude_quarantined else _with_quarantined(scored, flagged)
@@ -118,13 +122,14 @@ def predict(
     ads = rollup.ad_features(conversations)
     assigned = labels = None
     if study.run_discovery:
-        assigned = discover(embedded, study)
-        labels = topics.topic_labels(topics.topic_terms(assigned))
+        with_text = discover(embedded, study)
+        labels = topics.topic_labels(topics.topic_terms(with_text))
+        assigned = cut_lineage(with_text.drop("text"))
         shares = topics.topic_shares(assigned)
         ids = topics.topic_ids(assigned)
         ads = rollup.with_topic_shares(ads, topics.topic_shares_wide(shares, ids))
     return PredictResult(
-        segments=flagged,
+        segments=flagged.withColumn("norm_text", tx.match_text(F.col("text"))),
         quality_report=quality.quality_report(flagged),
         scored=scored,
         respondent_features=conversations,
@@ -136,4 +141,5 @@ def predict(
 
 
 def _with_quarantined(scored: DataFrame, flagged: DataFrame) -> DataFrame:
-    return scored.unionByName(flagged.filter(F.col("quarantined")), allowMissingColumns=True)
+    rest = flagged.filter(F.col("quarantined")).select(*SCORED_COLUMNS)
+    return scored.unionByName(rest, allowMissingColumns=True)
