@@ -304,7 +304,8 @@ def construct_centroids(spark, sf_dir):
 @query
 def anchor_scores_long(spark, sf_dir):
     table = anchors.centroids(t.label_phrases(spark, sf_dir))
-    return rounded(anchors.score_long(t.vector_segments(spark, sf_dir), table))
+    names = list(t.VECTOR_CONSTRUCTS)
+    return rounded(anchors.score_long(t.vector_segments(spark, sf_dir), table, names))
 
 
 def vector_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -323,8 +324,9 @@ def anchor_scores_wide(spark, sf_dir):
 @query
 def anchor_scores_pivot(spark, sf_dir):
     table = anchors.centroids(t.label_phrases(spark, sf_dir))
-    long = anchors.score_long(t.vector_segments(spark, sf_dir), table)
-    return rounded(anchors.long_to_wide(long, list(t.VECTOR_CONSTRUCTS)))
+    names = list(t.VECTOR_CONSTRUCTS)
+    long = anchors.score_long(t.vector_segments(spark, sf_dir), table, names)
+    return rounded(anchors.long_to_wide(long, names))
 
 
 @query
@@ -365,7 +367,7 @@ def constructs_without_segments(spark, sf_dir):
 @query
 def ad_construct_scores(spark, sf_dir):
     long = anchors.score_long(
-        embedded(spark, sf_dir), centroid_table(spark), ["segment_id", "ad_id"]
+        embedded(spark, sf_dir), centroid_table(spark), NAMES, ["segment_id", "ad_id"]
     )
     return rounded(rollup.construct_scores(long))
 
@@ -487,8 +489,7 @@ def judged(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = encode.embed_segments(t.document_segments(spark, sf_dir), ENCODER)
     themed = docs.withColumn("theme", F.lit("Emotion"))
     names = list(STUDY.judge_constructs)
-    table = centroid_table(spark).filter(F.col("construct").isin(names))
-    scores = anchors.score_wide(themed, table, names)
+    scores = anchors.score_wide(themed, centroid_table(spark), names)
     # Rounded so that ties, which ranks depend on, are the same everywhere.
     scores = scores.withColumns({f"anchor_{n}": F.round(f"anchor_{n}", 3) for n in names})
     return judge.judged_segments(docs, scores, t.judge_replies(spark, sf_dir), names)

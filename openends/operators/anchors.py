@@ -47,15 +47,20 @@ def construct_names(mapped: Mapping[str, str] | Iterable[AnchorSet]) -> list[str
     return [s.construct for s in mapped]
 
 
+def configured(centroid_table: DataFrame, constructs: Sequence[str]) -> DataFrame:
+    """The named constructs' centroids: at most one row per name, so safe to broadcast."""
+    return centroid_table.filter(F.col("construct").isin(list(constructs)))
+
+
 def score_long(
-    segments: DataFrame, centroid_table: DataFrame, keep: Sequence[str] = ("segment_id",)
+    segments: DataFrame,
+    centroid_table: DataFrame,
+    constructs: Sequence[str],
+    keep: Sequence[str] = ("segment_id",),
 ) -> DataFrame:
-    """(segment_id, construct, score): each construct only on its own theme.
-
-    `centroid_table` has one row per configured construct, so its size is known
-    from the settings before the plan runs; it is the side that is broadcast.
-    """
-    return segments.join(F.broadcast(centroid_table), "theme").select(
+    """(segment_id, construct, score): each construct only on its own theme."""
+    wanted = configured(centroid_table, constructs)
+    return segments.join(F.broadcast(wanted), "theme").select(
         *keep,
         "construct",
         vx.to_unit_interval(vx.dot(F.col("vector"), F.col("centroid"))).alias("score"),
@@ -70,7 +75,7 @@ def score_wide(
     One broadcast row per theme carries all its centroids, so segments keep their
     row count and no pivot or shuffle is needed.
     """
-    by_theme = centroid_table.groupBy("theme").agg(
+    by_theme = configured(centroid_table, constructs).groupBy("theme").agg(
         F.map_from_entries(F.collect_list(F.struct("construct", "centroid"))).alias("_centroids")
     )
     scores = F.map_from_entries(
@@ -94,7 +99,7 @@ def collect_centroids(
     centroid_table: DataFrame, constructs: Sequence[str]
 ) -> dict[str, tuple[str, np.ndarray]]:
     """Centroids by construct; never more rows than configured constructs."""
-    rows = centroid_table.filter(F.col("construct").isin(list(constructs))).collect()
+    rows = configured(centroid_table, constructs).collect()
     found = {r["construct"]: (r["theme"], np.array(r["centroid"])) for r in rows}
     return {name: found[name] for name in constructs if name in found}
 

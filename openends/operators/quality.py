@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from openends.functions import text as tx
 from openends.operators.lookup import ROWS_PER_SLICE, attach_lookup
+from openends.sources.shared import cut_lineage
 
 FLAGS = [
     "flag_empty",
@@ -38,6 +39,7 @@ def quality_gate(
     distinct_respondents: bool = False,
     within: Sequence[str] = (),
     rows_per_slice: int = ROWS_PER_SLICE,
+    materialise: bool = False,
 ) -> DataFrame:
     """Add norm_text, token_count, the four flags and `quarantined`.
 
@@ -47,17 +49,25 @@ def quality_gate(
     repeat are then joined back, with hot texts spread over tasks.
 
     `distinct_respondents` counts respondents instead of rows in the
-    cross-respondent check. `within` keeps resampling cells apart.
+    cross-respondent check. `within` keeps resampling cells apart. `materialise`
+    writes the texts with their digests to the shared folder before they are counted
+    and flagged, so cleaning and normalising, the costly part, run once.
     """
     within = list(within)
     # The coalesce and the filter state what the joins below need: no key is NULL.
     # Spark would otherwise add its own checks per join, and the two roll-ups could
     # no longer share one shuffle.
     digest = F.coalesce(tx.digest(F.col("norm_text")), F.lit(b""))
-    rows = text_features(segments).withColumn("_digest", digest)
+    rows = text_features(segments).withColumns(
+        {"_digest": digest, "_norm_len": F.length("norm_text")}
+    )
+    if materialise:
+        # norm_text is as long as the text, so it is redone, if asked for, not stored.
+        rows = cut_lineage(rows.drop("norm_text"))
+        rows = rows.withColumn("norm_text", tx.match_text(F.col("text")))
     keyed = rows.filter("theme IS NOT NULL AND respondent_id IS NOT NULL AND ad_id IS NOT NULL")
     counted = keyed.groupBy(*within, "theme", "_digest", "respondent_id", "ad_id").agg(
-        F.count(F.lit(1)).alias("n"), F.max(F.length("norm_text")).alias("norm_len")
+        F.count(F.lit(1)).alias("n"), F.max("_norm_len").alias("norm_len")
     )
 
     def repeated(by: str, min_len: int, repeats: Column, mark: str) -> DataFrame:

@@ -3,9 +3,10 @@
 from __future__ import annotations
 
 import logging
+from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from openends.config import Study, active_themes
@@ -39,7 +40,7 @@ def built_in_encoder(study: Study) -> EncoderSettings:
     return EncoderSettings(study.encoder_name, study.output_dim)
 
 
-def study_centroids(spark, study: Study, encoder: EncoderSettings) -> DataFrame:
+def study_centroids(spark: SparkSession, study: Study, encoder: EncoderSettings) -> DataFrame:
     """Centroids of the study's constructs; phrases are encoded like answers."""
     phrases = anchors.anchor_table(spark, study.anchor_sets())
     keyed = phrases.withColumnRenamed("construct", "key")
@@ -47,11 +48,17 @@ def study_centroids(spark, study: Study, encoder: EncoderSettings) -> DataFrame:
     return anchors.centroids(vectors.withColumnRenamed("key", "construct"))
 
 
-def flagged_segments(responses: DataFrame, study: Study, within=()) -> DataFrame:
+def flagged_segments(
+    responses: DataFrame, study: Study, within: Sequence[str] = (), materialise: bool = False
+) -> DataFrame:
     """Segments of the study's themes with quality flags."""
     long = segments.build_segments(responses, study.themes, within)
     return quality.quality_gate(
-        long, study.min_tokens, study.near_duplicate_min_len, within=within
+        long,
+        study.min_tokens,
+        study.near_duplicate_min_len,
+        within=within,
+        materialise=materialise,
     )
 
 
@@ -108,12 +115,13 @@ def predict(
     response_tables.check_order(raw)
     responses = response_tables.load_responses(raw, study.themes, row_order)
 
-    # The form used to find copies is as long as the text; it is cheaper to redo.
-    flagged = cut_lineage(flagged_segments(responses, study).drop("norm_text"))
+    flagged = flagged_segments(responses, study, materialise=True).drop("norm_text")
+    flagged = cut_lineage(flagged)
     usable = segments.scoreable(flagged).select(*SCORED_COLUMNS, "text")
     embedded = embed_segments(usable, encoder, cache_path)
     if study.run_discovery:
-        embedded = cut_lineage(embedded)
+        single = F.col("vector").cast("array<float>")
+        embedded = cut_lineage(embedded.withColumn("vector", single))
     scored = cut_lineage(scored_segments(embedded.drop("text"), study, encoder))
 
     # Quarantined segments have no score; they only count when asked for.

@@ -79,6 +79,8 @@ def test_hot_text_is_flagged_when_spread_over_slices(spark, rows_per_slice):
     df = spark.createDataFrame(hot + cold, SCHEMA)
     gated = quality.quality_gate(df, rows_per_slice=rows_per_slice)
     assert found_flags(gated) == expected_flags(hot + cold)
+    stored = quality.quality_gate(df, rows_per_slice=rows_per_slice, materialise=True)
+    assert sorted(stored.collect()) == sorted(gated.select(*stored.columns).collect())
     assert gated.count() == 250
 
 

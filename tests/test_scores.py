@@ -51,7 +51,7 @@ def as_dict(df):
 def test_scores_stay_on_the_constructs_theme(plane):
     segments, centroids = plane
     assert as_dict(anchors.score_wide(segments, centroids, NAMES)) == EXPECTED
-    long = anchors.score_long(segments, centroids).filter("score IS NOT NULL")
+    long = anchors.score_long(segments, centroids, NAMES).filter("score IS NOT NULL")
     assert {(r.segment_id, r.construct): r.score for r in long.collect()} == {
         (s, n): v for s, row in EXPECTED.items() for n, v in zip(NAMES, row, strict=True)
         if v is not None
