@@ -123,13 +123,16 @@ def predict(
         single = F.col("vector").cast("array<float>")
         embedded = cut_lineage(embedded.withColumn("vector", single))
     scored = cut_lineage(scored_segments(embedded.drop("text"), study, encoder))
+    _warn_unscored(scored)
 
     # Quarantined segments have no score; they only count when asked for.
     rows = scored if study.exclude_quarantined else _with_quarantined(scored, flagged)
     conversations = rollup.respondent_features(rows, study.exclude_quarantined)
     ads = rollup.ad_features(conversations)
     assigned = labels = None
-    if study.run_discovery:
+    if study.run_discovery and embedded.isEmpty():
+        log.warning("no segment passed the quality gate; no topics to find")
+    elif study.run_discovery:
         with_text = discover(embedded, study)
         labels = topics.topic_labels(topics.topic_terms(with_text))
         assigned = cut_lineage(with_text.drop("text"))
@@ -148,6 +151,15 @@ def predict(
     )
 
 
+def _warn_unscored(scored: DataFrame) -> None:
+    """Name the constructs without any score; one row per construct comes back."""
+    if not rollup.score_columns(scored):
+        log.warning("no construct is active; features hold no scores")
+        return
+    for row in rollup.construct_coverage(scored).filter("all_missing").collect():
+        log.warning("%s has no score in any segment", row.score_column)
+
+
 def _with_quarantined(scored: DataFrame, flagged: DataFrame) -> DataFrame:
     rest = flagged.filter(F.col("quarantined")).select(*SCORED_COLUMNS)
     return scored.unionByName(rest, allowMissingColumns=True)

@@ -85,6 +85,9 @@ def train_run(
     """
     prediction = predict(raw, study, encoder, cache_path)
     features = cut_lineage(prediction.ad_features)
+    dropped = training.unlabelled_ads(features, labels).count()
+    if dropped:
+        log.warning("%d ad(s) have no label and are left out of training", dropped)
     spark = raw.sparkSession
     tasks = ["3class", "binary"] + (["regression"] if "score" in labels.columns else [])
     scores, top = None, {}

@@ -74,6 +74,25 @@ def test_bad_settings_and_bad_input_fail_before_work(raw):
         predict_plan.predict(raw.withColumn("Order Shown", F.lit("x")), SMALL)
 
 
+def test_study_without_constructs_still_gives_controls(raw, caplog):
+    result = predict_plan.predict(
+        raw, dataclasses.replace(SMALL, anchors={}, run_discovery=False)
+    )
+    assert "no construct is active" in caplog.text
+    assert result.ad_features.columns == [
+        "ad_id", "order_shown_mean", "order_shown_std", "n_conversations"
+    ]
+    assert result.ad_features.count() > 0
+
+
+def test_study_whose_answers_all_fail_the_gate(raw, caplog):
+    result = predict_plan.predict(raw, dataclasses.replace(SMALL, min_tokens=10**6))
+    assert result.ad_features.count() == result.respondent_features.count() == 0
+    assert result.topics is None
+    assert "has no score" in caplog.text and "no topics" in caplog.text
+    assert result.quality_report.filter("quarantine_rate < 1").count() == 0
+
+
 def test_outputs_are_written_and_read_back(spark, raw, prediction, tmp_path):
     replies = prediction.scored.filter("theme = 'Emotion'").select(
         "segment_id", F.explode(F.array(F.lit("enjoyability"), F.lit("authenticity")))
