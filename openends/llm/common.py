@@ -45,3 +45,10 @@ def texts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Da
 
 def parts(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
+
+
+def tokenizer_path(name: str) -> str:
+    """Where a public tokenizer's file is on this machine; every executor has the same package."""
+    import public_tokenizers
+
+    return public_tokenizers.path(name)

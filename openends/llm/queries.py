@@ -7,8 +7,11 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from openends.llm import exact_dedup, simhash, vptree
-from openends.llm.common import read
+from openends.llm import bpe, exact_dedup, packing, simhash, token_files, vptree
+from openends.llm.common import read, tokenizer_path
+
+WORDS = "word_bpe_49k.json"
+BYTES = "byte_bpe_50k.json"
 
 
 def op2_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -20,12 +23,27 @@ def op5_simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return vptree.simhash_groups(read(spark, sf_dir, "documents"))
 
 
+def op6_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(read(spark, sf_dir, "documents"), tokenizer_path(WORDS), 2048)
+
+
 def op7_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_duplicates(read(spark, sf_dir, "documents"), keep="largest")
 
 
+def op8_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_files.round_trip(read(spark, sf_dir, "documents"), tokenizer_path(BYTES))
+
+
+def op9_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bpe.encode_digests(read(spark, sf_dir, "documents"), tokenizer_path(WORDS))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_simhash": op2_simhash,
     "op5_simhash_dedup": op5_simhash_dedup,
+    "op6_packing": op6_packing,
     "op7_exact_dedup": op7_exact_dedup,
+    "op8_token_files": op8_token_files,
+    "op9_bpe": op9_bpe,
 }
