@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from openends.llm import bpe, exact_dedup, packing, simhash, token_files, vptree
+from openends.llm import bpe, exact_dedup, packing, quality, simhash, token_files, toxicity, vptree
 from openends.llm.common import read, tokenizer_path
 
 WORDS = "word_bpe_49k.json"
@@ -19,6 +19,10 @@ def op2_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.edit_digest(docs, queries=F.col("doc_id") % 50 == 0)
 
 
+def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.toxicity(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
+
+
 def op5_simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return vptree.simhash_groups(read(spark, sf_dir, "documents"))
 
@@ -39,11 +43,17 @@ def op9_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.encode_digests(read(spark, sf_dir, "documents"), tokenizer_path(WORDS))
 
 
+def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.quality(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_simhash": op2_simhash,
+    "op3_toxicity": op3_toxicity,
     "op5_simhash_dedup": op5_simhash_dedup,
     "op6_packing": op6_packing,
     "op7_exact_dedup": op7_exact_dedup,
     "op8_token_files": op8_token_files,
     "op9_bpe": op9_bpe,
+    "op10_quality": op10_quality,
 }
