@@ -22,15 +22,15 @@ from openends.llm.common import texts, unique
 
 # The field is fitted on at most this many labelled documents of each label, of at most
 # this many characters, chosen by hash. Every document is scored, and its whole text.
-MAX_TRAIN = 3_000
-MAX_TRAIN_CHARS = 20_000
+MAX_TRAIN = 2_000
+MAX_TRAIN_CHARS = 10_000
 # Words of a chain; a text is tagged in consecutive chains.
 CHAIN = 128
 # Beginnings of a word that are features beside the word itself.
-BEGINNINGS = (4, 5, 6)
+BEGINNINGS = (4, 5, 6, 7)
 # Standard errors by which a feature's log-odds must exceed SEED_ODDS to label words.
-SEED_ERRORS, SEED_ODDS = 1.96, 1.0
-ROUNDS, STEP, RIDGE = 80, 0.3, 1e-4
+SEED_ERRORS, SEED_ODDS = 1.96, 1.5
+ROUNDS, STEP, RIDGE = 50, 0.3, 1e-4
 CACHED = 400_000
 
 
@@ -199,8 +199,9 @@ def document_evidence(
 ) -> tuple[np.ndarray, list[np.ndarray]]:
     """Per document what the score is made of, and P(toxic) of every word.
 
-    Evidence is the expected number of toxic words, as a logarithm, the probability that
-    any word is toxic, and the largest probability of a word.
+    Evidence is the expected number of toxic words and of clearly toxic ones, their share
+    among all words, all as logarithms, the probability that any word is toxic, the largest
+    probability of a word, and the number of words.
     """
     counts = np.array([len(words) for words in docs], dtype=np.int64)
     per_doc = -(-counts // CHAIN)
@@ -220,7 +221,7 @@ def document_evidence(
         emission = np.zeros((len(some), width))
         emission[inside] = scores[where]
         probabilities[where] = marginals(emission, some, field.transition)[0][inside]
-    out = np.zeros((len(docs), 3))
+    out = np.zeros((len(docs), 6))
     words: list[np.ndarray] = []
     at = 0
     for i, n in enumerate(counts):
@@ -228,7 +229,15 @@ def document_evidence(
         at += n
         words.append(p)
         if per_doc[i]:
-            out[i] = math.log1p(p.sum()), 1 - math.exp(np.log1p(-np.minimum(p, 1 - 1e-12)).sum()), p.max()
+            clear = float((p**4).sum())
+            out[i] = (
+                math.log1p(p.sum()),
+                math.log1p(clear),
+                math.log1p(1_000 * clear / n),
+                -math.expm1(np.log1p(-np.minimum(p, 1 - 1e-12)).sum()),
+                p.max(),
+                math.log1p(n) / 10,
+            )
     return out, words
 
 
@@ -263,7 +272,9 @@ def training_sample(docs: DataFrame, labels: DataFrame) -> tuple[list[list[str]]
         some = rows.filter(F.col("toxic") == label)
         some = some.orderBy(F.xxhash64("doc_id"), "doc_id").limit(MAX_TRAIN)
         found += some.select("text", "toxic").collect()
-    return [r["text"].lower().split() for r in found], [int(r["toxic"]) for r in found]
+    known: dict[str, str] = {}
+    words = [[known.setdefault(w, w) for w in r["text"].lower().split()] for r in found]
+    return words, [int(r["toxic"]) for r in found]
 
 
 def toxicity(
