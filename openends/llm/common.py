@@ -17,21 +17,24 @@ def ascii_lower(text: Column) -> Column:
     return F.translate(F.coalesce(text, F.lit("")), UPPER, UPPER.lower())
 
 
-def unique(rows: DataFrame, key: str = "doc_id") -> DataFrame:
-    """Rows by key: those without a key are left out, those that repeat one count once.
+def unique(rows: DataFrame, *keys: str) -> DataFrame:
+    """Rows by key (doc_id unless others are named), without rows that lack one, each key once.
 
     Of rows with the same key the greatest stays, comparing the other columns in order
     (null is lowest). The reduction shuffles whole rows, so it runs only where a key
-    does repeat; that is found out from the key column alone.
+    does repeat; that is found out from the key columns alone.
     """
-    rows = rows.filter(F.col(key).isNotNull())
-    repeated = rows.groupBy(key).agg(F.count(F.lit(1)).alias("_n")).filter("_n > 1")
+    keys = keys or ("doc_id",)
+    rows = rows.dropna(subset=list(keys))
+    repeated = rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).filter("_n > 1")
+    others = [c for c in rows.columns if c not in keys]
     if repeated.isEmpty():
         return rows
-    others = [c for c in rows.columns if c != key]
+    if not others:
+        return rows.distinct()
     row = F.struct(*[F.col(f"`{c}`") for c in others])
-    reduced = rows.groupBy(key).agg(F.max(row).alias("_row"))
-    return reduced.select(*[F.col(key) if c == key else F.col(f"_row.`{c}`") for c in rows.columns])
+    reduced = rows.groupBy(*keys).agg(F.max(row).alias("_row"))
+    return reduced.select(*[F.col(c) if c in keys else F.col(f"_row.`{c}`") for c in rows.columns])
 
 
 def texts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

@@ -7,13 +7,28 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from openends.llm import bpe, exact_dedup, packing, quality, simhash, token_files, toxicity, vptree
+from openends.llm import (
+    bpe,
+    exact_dedup,
+    html_text,
+    packing,
+    quality,
+    quotes,
+    simhash,
+    token_files,
+    toxicity,
+    vptree,
+)
 from openends.llm.common import read, tokenizer_path
 
 WORDS = "word_bpe_49k.json"
 BYTES = "byte_bpe_50k.json"
 
 
+def op1_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_text.extract(read(spark, sf_dir, "pages"))
+
+
 def op2_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read(spark, sf_dir, "documents")
     return simhash.edit_digest(docs, queries=F.col("doc_id") % 50 == 0)
@@ -23,6 +38,10 @@ def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.toxicity(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
 
 
+def op4_quotes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quotes.reply_order(read(spark, sf_dir, "conversations"))
+
+
 def op5_simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return vptree.simhash_groups(read(spark, sf_dir, "documents"))
 
@@ -48,8 +67,10 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_html_text": op1_html_text,
     "op2_simhash": op2_simhash,
     "op3_toxicity": op3_toxicity,
+    "op4_quotes": op4_quotes,
     "op5_simhash_dedup": op5_simhash_dedup,
     "op6_packing": op6_packing,
     "op7_exact_dedup": op7_exact_dedup,
