@@ -71,6 +71,8 @@ _TAG = re.compile(
     r"|<[!?][^>]*+>?|</[^a-zA-Z][^>]*+>?",
     re.S,
 )
+# A tag or comment that the page ends in.
+_UNENDED = re.compile(r"<[a-zA-Z/!?].*\Z", re.S)
 _ATTRIBUTE = re.compile(r"""\b(class|id|role|style|hidden|aria-hidden)\b(?:\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+))?""", re.I)
 _WORD = re.compile(r"[a-z]+|[A-Z]+(?![a-z])|[A-Z][a-z]+")
 _SPACE = re.compile(r"\s+")
@@ -100,7 +102,7 @@ class Page:
 
         while True:
             found = _TAG.search(source, at, last) if at < last else None
-            text = source[at : found.start()] if found else source[at:]
+            text = source[at : found.start()] if found else _UNENDED.sub("", source[at:])
             if text:
                 self.items.append((stack[-1], html.unescape(text)))
             if not found:
