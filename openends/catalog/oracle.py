@@ -48,9 +48,9 @@ RESPONSES = f"""raw AS (
     {', '.join(f"max(CASE WHEN turn % 5 = {i} THEN text END) AS t{i}" for i in range(5))}
   FROM conversations GROUP BY 1, 2
 ), responses AS (
-  SELECT 'R' || conv_id AS respondent_id, 'AD' || ((conv_id + 7 * block) % {t.N_ADS}) AS ad_id,
-    'Brand ' || (((conv_id + 7 * block) % {t.N_ADS}) % 5) AS brand,
-    'Platform ' || (((conv_id + 7 * block) % {t.N_ADS}) % 3) AS platform,
+  SELECT 'R' || conv_id AS respondent_id, 'AD' || (conv_id // {t.PER_AD} + block) AS ad_id,
+    'Brand ' || ((conv_id // {t.PER_AD} + block) % 5) AS brand,
+    'Platform ' || ((conv_id // {t.PER_AD} + block) % 3) AS platform,
     block + 1 AS order_shown,
     {', '.join(f"{clean(f't{i}')} AS a{i}" for i in range(5))}
   FROM raw
@@ -174,8 +174,8 @@ VECTORS = f"""elems AS (
   SELECT vec_id, label, unnest(range(len(embedding))) AS pos,
     unnest(embedding)::DOUBLE AS x FROM embeddings
 ), vsegs AS (
-  SELECT 'V' || vec_id AS segment_id, vec_id, 'R' || (vec_id // {t.N_ADS}) AS respondent_id,
-    'AD' || (vec_id % {t.N_ADS}) AS ad_id, vec_id % 3 + 1 AS order_shown,
+  SELECT 'V' || vec_id AS segment_id, vec_id, 'R' || (vec_id % {t.VECTORS_PER_AD}) AS respondent_id,
+    'AD' || (vec_id // {t.VECTORS_PER_AD}) AS ad_id, vec_id % 3 + 1 AS order_shown,
     {theme_of('label % 4')} AS theme, CASE WHEN label = 9 THEN -1 ELSE label END::BIGINT AS topic_id
   FROM embeddings
 ), vmean AS (
@@ -207,7 +207,9 @@ PREDICTIONS = """preds AS (
     (floor(value)::BIGINT % 3)::DOUBLE AS prediction FROM events
 )"""
 
-TOPIC_DOCS = f"""{DOCS}, numbered AS (
+def topic_docs(vocabulary: str = "") -> str:
+    """Terms and their weights per topic; `vocabulary` may order and cut the terms."""
+    return f"""{DOCS}, numbered AS (
   SELECT *, ascii(ad_id) % 5 * 4 + length(text) % 4 AS k FROM docs
 ), tdocs AS (SELECT *, CASE WHEN k % 7 = 0 THEN -1 ELSE k END AS topic_id FROM numbered),
 words AS (
@@ -217,7 +219,7 @@ words AS (
   SELECT topic_id, term, count(*) AS n FROM words
   WHERE term NOT IN ({', '.join(quoted(w) for w in t.STOP_WORDS)}) GROUP BY ALL
 ), vocab AS (
-  SELECT term, count(*) AS df FROM cnt GROUP BY term ORDER BY sum(n) DESC, term LIMIT 5000
+  SELECT term, count(*) AS df FROM cnt GROUP BY term {vocabulary}
 ), weights AS (
   SELECT topic_id, term, n,
     n::DOUBLE / greatest(sum(n) OVER (PARTITION BY topic_id), 1)
@@ -256,8 +258,8 @@ CACHE = f"""turn_texts AS (
 )"""
 
 PROBES = f"""turns AS (
-  SELECT conv_id, max(CASE WHEN turn = 0 THEN text END) AS opening,
-    max(CASE WHEN turn = 1 THEN text END) AS reply FROM conversations GROUP BY 1
+  SELECT a.conv_id || '-' || a.turn AS conv_id, a.text AS opening, b.text AS reply
+  FROM conversations a JOIN conversations b ON a.conv_id = b.conv_id AND b.turn = a.turn + 1
 ), texts AS (
   SELECT conv_id || '/o' AS k, opening AS text FROM turns
   UNION ALL SELECT conv_id || '/s', opening || ' ' || opening FROM turns
@@ -324,13 +326,15 @@ VARIANCE_RESULT = """ad_means AS (
 
 RESULT = 'SELECT "check", subject, round(value, 6) AS value, status FROM'
 
+GRID = ", ".join(f"({n})" for n in t.STUDY.conversations_grid)
+
 CELLS = f"""{SEGMENTS}, repeats AS (
   SELECT ad_id, respondent_id, r AS "repeat", row_number() OVER (
     PARTITION BY ad_id, r ORDER BY md5((42 + r) || '|' || respondent_id), respondent_id) AS k
-  FROM responses, range(2) AS x(r)
+  FROM (SELECT DISTINCT ad_id, respondent_id FROM responses), range({t.STUDY.n_repeats}) AS x(r)
 ), cells AS (
   SELECT ad_id, respondent_id, "repeat", n AS n_per_ad
-  FROM repeats JOIN (VALUES (2), (4)) AS g(n) ON k <= n
+  FROM repeats JOIN (VALUES {GRID}) AS g(n) ON k <= n
 ), csegs AS (
   SELECT s.*, c."repeat", c.n_per_ad FROM segments s JOIN cells c USING (ad_id, respondent_id)
 ), {gate('csegs', cell='n_per_ad, "repeat"')}, ok AS (
@@ -343,16 +347,15 @@ CELLS = f"""{SEGMENTS}, repeats AS (
   FROM ok GROUP BY ALL
 )"""
 
-DENSITY = """sized AS (
-  SELECT 'V' || vec_id AS segment_id, 'AD' || (vec_id % 20) AS ad_id,
-    embedding[1]::DOUBLE AS x, embedding[2]::DOUBLE AS y, embedding[3]::DOUBLE AS z
+AXES = ", ".join(
+    f"floor(round(list_dot_product(embedding::DOUBLE[], {[float(x) for x in t.signs(axis)]}) / 8, 9)"
+    f" / 0.06)::INT AS {name}"
+    for axis, name in enumerate("abc")
+)
+
+DENSITY = f"""placed AS (
+  SELECT 'V' || vec_id AS segment_id, 'AD' || (vec_id // {t.VECTORS_PER_AD}) AS ad_id, {AXES}
   FROM embeddings
-), units AS (
-  SELECT *, CASE WHEN x = 0 AND y = 0 AND z = 0 THEN 1.0
-    ELSE sqrt(x * x + y * y + z * z) END AS len FROM sized
-), placed AS (
-  SELECT segment_id, ad_id, floor(x / len / 0.25)::INT AS a, floor(y / len / 0.25)::INT AS b,
-    floor(z / len / 0.25)::INT AS c FROM units
 ), dense AS (
   SELECT a, b, c, a || ',' || b || ',' || c AS cell FROM placed GROUP BY a, b, c
   HAVING count(*) >= 3
@@ -550,11 +553,15 @@ def oracle() -> dict[str, str]:
         f"WITH {VECTORS} SELECT count(DISTINCT topic_id) FILTER (topic_id <> -1) AS n_topics, "
         "count(*) FILTER (topic_id = -1) AS n_noise, count(*) AS n_segments FROM vsegs"
     )
+    sql["topic_term_weights_5000"] = (
+        f"WITH {topic_docs('ORDER BY sum(n) DESC, term LIMIT 5000')} "
+        "SELECT topic_id::BIGINT AS topic_id, term, n, round(weight, 6) AS weight FROM weights"
+    )
     sql["topic_term_weights"] = (
-        f"WITH {TOPIC_DOCS} SELECT topic_id::BIGINT AS topic_id, term, n, "
+        f"WITH {topic_docs()} SELECT topic_id::BIGINT AS topic_id, term, n, "
         "round(weight, 6) AS weight FROM weights"
     )
-    sql["ctfidf_labels"] = f"""WITH {TOPIC_DOCS}, best AS (
+    sql["ctfidf_labels"] = f"""WITH {topic_docs()}, best AS (
       SELECT topic_id, term, row_number() OVER (
         PARTITION BY topic_id ORDER BY round(weight, 9) DESC, term) AS place FROM weights
     ) SELECT topic_id::BIGINT AS topic_id, string_agg(term, ', ' ORDER BY place) AS label
@@ -635,6 +642,15 @@ def oracle() -> dict[str, str]:
     ), orders AS ({ad_stats('convs', 'n_per_ad, "repeat"')})
     SELECT * REPLACE (n_per_ad::BIGINT AS n_per_ad, "repeat"::BIGINT AS "repeat")
     FROM orders LEFT JOIN stats USING (n_per_ad, "repeat", ad_id)"""
+    sql["predict_ads"] = sql["ad_features"]
+    sql["predict_respondents"] = sql["respondent_features"]
+    sql["predict_quality"] = sql["qc_report"].replace(DOCS, SEGMENTS).replace(
+        gate("docs"), gate("segments")
+    )
+    sql["kmeans_violations"] = (
+        "SELECT 0::BIGINT AS small_groups, 0::BIGINT AS wrong_shares, 0::BIGINT AS repeated_points "
+        "FROM embeddings LIMIT 1"
+    )
     sql["embedding_norm_check"] = f"""WITH {VECTORS}, {NORM_RESULT}
       SELECT "check", subject, round(value, 5) AS value, status FROM norm_result"""
     sql["pair_sanity"] = f"WITH {PROBES} {RESULT} pair_result"

@@ -213,7 +213,7 @@ def exploded(df: DataFrame, key: str, column: str) -> DataFrame:
 def content_keys(spark, sf_dir):
     text = tx.apply_instruction(F.col("text"), "Find answers like: {text}")
     key = tx.content_key(F.col("text"), "hashed-tokens", 64, "Find answers like: {text}")
-    return t.table(spark, sf_dir, "documents", "doc_id").select(
+    return t.table(spark, sf_dir, "documents").select(
         "doc_id", key.alias("key"), F.md5(text).alias("payload_md5")
     )
 
@@ -240,7 +240,7 @@ def vector_dimension_check(spark, sf_dir):
 
 @query
 def hashed_encoder(spark, sf_dir):
-    df = t.table(spark, sf_dir, "documents", "doc_id").select(
+    df = t.table(spark, sf_dir, "documents").select(
         "doc_id", vx.hashed_vector(F.col("text"), 64).alias("vector")
     )
     return exploded(df, "doc_id", "vector").filter("value != 0")
@@ -461,6 +461,12 @@ def topic_term_weights(spark, sf_dir):
     return rounded(big(weights, "topic_id"))
 
 
+@query
+def topic_term_weights_5000(spark, sf_dir):
+    weights = topics.topic_terms(document_topics(spark, sf_dir), t.STOP_WORDS, max_terms=5000)
+    return rounded(big(weights, "topic_id"))
+
+
 @query
 def ctfidf_labels(spark, sf_dir):
     weights = topics.topic_terms(document_topics(spark, sf_dir), t.STOP_WORDS)
@@ -470,16 +476,23 @@ def ctfidf_labels(spark, sf_dir):
 @query
 def topics_density(spark, sf_dir):
     rows = t.vector_segments(spark, sf_dir).drop("topic_id")
-    points = encode.truncated_vectors(rows, 3).withColumnRenamed("vector", "coords")
-    df = topics.density_topics(points, dim=3, cell_size=0.25, min_points=3, min_cluster_size=8)
+    # Three fixed sums of all numbers of a vector, each with signs of its own.
+    axes = [F.lit([float(x) for x in t.signs(axis)]) for axis in range(3)]
+    coords = F.array(*[F.round(vx.dot(F.col("vector"), signs) / 8, 9) for signs in axes])
+    df = topics.density_topics(
+        rows.withColumn("coords", coords), dim=3, cell_size=0.06, min_points=3, min_cluster_size=8
+    )
     return df.select("segment_id", "ad_id", "topic_id")
 
 
+def topics_kmeans_points(spark: SparkSession, sf_dir: str) -> DataFrame:
+    points = topics.reduce_pca(t.vector_segments(spark, sf_dir).drop("topic_id"), 5)
+    return topics.kmeans_topics(points, k=10, min_cluster_size=8)
+
+
 @query
 def topics_kmeans(spark, sf_dir):
-    points = topics.reduce_pca(t.vector_segments(spark, sf_dir).drop("topic_id"), 5)
-    df = topics.kmeans_topics(points, k=10, min_cluster_size=8)
-    return df.select("segment_id", "ad_id", "topic_id")
+    return topics_kmeans_points(spark, sf_dir).select("segment_id", "ad_id", "topic_id")
 
 
 # --- judge ---------------------------------------------------------------------
@@ -639,25 +652,22 @@ def top_drivers(spark, sf_dir):
     return drivers.top_drivers(importance, 15)
 
 
-CURVE_STUDY = dataclasses.replace(STUDY, conversations_grid=(2, 4), n_repeats=2, n_splits=3)
-
-
 @query
 def learning_curve_features(spark, sf_dir):
-    cells = train_plan.curve_features(cleaned(spark, sf_dir), CURVE_STUDY)
+    cells = train_plan.curve_features(cleaned(spark, sf_dir), STUDY)
     return rounded(big(cells, *curve.CELL))
 
 
 @query
 def classifier_cv(spark, sf_dir):
-    result = training.train(vector_ads(spark, sf_dir), ad_labels(spark, sf_dir), n_trees=50)
+    result = training.train(vector_ads(spark, sf_dir), ad_labels(spark, sf_dir))
     return training.fold_table(spark, result)
 
 
 @query
 def binary_cv(spark, sf_dir):
     result = training.train(
-        vector_ads(spark, sf_dir), ad_labels(spark, sf_dir), "binary", n_trees=50
+        vector_ads(spark, sf_dir), ad_labels(spark, sf_dir), "binary"
     )
     return training.fold_table(spark, result)
 
@@ -665,7 +675,7 @@ def binary_cv(spark, sf_dir):
 @query
 def regressor_cv(spark, sf_dir):
     result = training.train(
-        vector_ads(spark, sf_dir), ad_labels(spark, sf_dir), "regression", n_trees=50
+        vector_ads(spark, sf_dir), ad_labels(spark, sf_dir), "regression"
     )
     return training.fold_table(spark, result)
 
@@ -673,7 +683,7 @@ def regressor_cv(spark, sf_dir):
 @query
 def driver_importance(spark, sf_dir):
     result = training.train(
-        vector_ads(spark, sf_dir), ad_labels(spark, sf_dir), "binary", n_splits=2, n_trees=50
+        vector_ads(spark, sf_dir), ad_labels(spark, sf_dir), "binary"
     )
     return drivers.top_drivers(drivers.permutation_importance(result))
 
@@ -681,11 +691,11 @@ def driver_importance(spark, sf_dir):
 @query
 def learning_curve(spark, sf_dir):
     cells = train_plan.cut_lineage(
-        train_plan.curve_features(cleaned(spark, sf_dir), CURVE_STUDY)
+        train_plan.curve_features(cleaned(spark, sf_dir), STUDY)
     )
     return curve.learning_curve(
-        cells, ad_labels(spark, sf_dir), CURVE_STUDY.conversations_grid, CURVE_STUDY.n_repeats,
-        n_splits=CURVE_STUDY.n_splits, n_trees=20,
+        cells, ad_labels(spark, sf_dir), STUDY.conversations_grid, STUDY.n_repeats,
+        n_splits=STUDY.n_splits, n_trees=STUDY.n_trees,
     )
 
 
@@ -744,10 +754,45 @@ def predict_run(spark, sf_dir):
     return rounded(result.ad_features)
 
 
+def plain_run(spark: SparkSession, sf_dir: str) -> predict_plan.PredictResult:
+    """A predict run without topics, all of whose tables SQL can state."""
+    study = dataclasses.replace(STUDY, run_discovery=False)
+    return predict_plan.predict(t.raw_responses(spark, sf_dir), study)
+
+
 @query
-def train_scores(spark, sf_dir):
-    study = dataclasses.replace(STUDY, n_splits=3, n_trees=20)
-    run = train_plan.train_run(
-        t.raw_responses(spark, sf_dir), ad_labels(spark, sf_dir), study, with_curve=False
+def predict_ads(spark, sf_dir):
+    return rounded(plain_run(spark, sf_dir).ad_features)
+
+
+@query
+def predict_respondents(spark, sf_dir):
+    return big(rounded(plain_run(spark, sf_dir).respondent_features), "order_shown")
+
+
+@query
+def predict_quality(spark, sf_dir):
+    return plain_run(spark, sf_dir).quality_report
+
+
+@query
+def kmeans_violations(spark, sf_dir):
+    """Points not with the nearest mean of their group, groups that are too small, and shares."""
+    rows = topics_kmeans_points(spark, sf_dir)
+    kept = rows.filter(F.col("topic_id") != topics.NOISE)
+    sizes = kept.groupBy("topic_id").count()
+    sums = topics.topic_shares(kept).groupBy("ad_id").agg(F.sum("share").alias("total"))
+    small = sizes.agg(F.count_if(F.col("count") < 8).alias("small_groups"))
+    wrong = sums.agg(F.count_if(F.abs(F.col("total") - 1) > 1e-9).alias("wrong_shares"))
+    lost = rows.agg((F.count(F.lit(1)) - F.count_distinct("segment_id")).alias("repeated_points"))
+    return small.select(
+        "small_groups",
+        wrong.scalar().alias("wrong_shares"),
+        lost.scalar().alias("repeated_points"),
     )
+
+
+@query
+def train_scores(spark, sf_dir):
+    run = train_plan.train_run(t.raw_responses(spark, sf_dir), ad_labels(spark, sf_dir), STUDY)
     return run.scores

@@ -19,7 +19,9 @@ from openends.functions import vectors as vx
 STUDY = Study()
 THEME_NAMES = list(defaults.THEMES)
 ANSWERS = [c for spec in defaults.THEMES.values() for c in spec["source_columns"]]
-N_ADS = 20
+# Ads follow the data: so many conversations, or vectors, make one.
+PER_AD = 10
+VECTORS_PER_AD = 25
 # The label tables name ten groups of vectors; they act as constructs here.
 VECTOR_CONSTRUCTS = {f"c{i}": THEME_NAMES[i % 4] for i in range(10)}
 # Common English words kept out of topic labels.
@@ -35,13 +37,14 @@ STOP_WORDS = (
 ).split()
 
 
-def table(spark: SparkSession, sf_dir: str, name: str, key: str | None = None) -> DataFrame:
-    """One given table. With a key, a table of few files is spread over the cores."""
-    df = spark.read.parquet(f"{sf_dir}/{name}.parquet")
-    cores = spark.sparkContext.defaultParallelism
-    if key is not None and len(df.inputFiles()) < cores:
-        return df.repartition(cores, key)
-    return df
+def signs(axis: int, dim: int = 64) -> list[int]:
+    """+1 or -1 per number of a vector, another pattern for each axis."""
+    return [1 if (i + 1) * (2 * axis + 3) % 7 < 3 else -1 for i in range(dim)]
+
+
+def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """One given table, split as the scan splits it."""
+    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
 def raw_responses(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -52,7 +55,7 @@ def raw_responses(spark: SparkSession, sf_dir: str) -> DataFrame:
     wide = turns.groupBy("conv_id", "block").agg(
         *[F.max(F.when(F.col("slot") == i, F.col("text"))).alias(c) for i, c in enumerate(ANSWERS)]
     )
-    ad = (F.col("conv_id") + 7 * F.col("block")) % N_ADS
+    ad = F.floor(F.col("conv_id") / PER_AD) + F.col("block")
     fraction = F.when(F.col("conv_id") % 3 == 0, ".7").otherwise("")
     keys = [
         F.concat(F.lit(" R"), F.col("conv_id"), F.lit(" ")),
@@ -69,7 +72,7 @@ def raw_responses(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def document_segments(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents as long segments, whole texts."""
-    docs = table(spark, sf_dir, "documents", "doc_id")
+    docs = table(spark, sf_dir, "documents")
     themes = F.array(*[F.lit(t) for t in THEME_NAMES])
     return docs.select(
         F.concat(F.lit("D"), F.col("doc_id")).alias("segment_id"),
@@ -83,14 +86,14 @@ def document_segments(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def vector_segments(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Embeddings as scoreable segments of twenty ads."""
+    """Embeddings as scoreable segments, VECTORS_PER_AD of an ad."""
     themes = F.array(*[F.lit(t) for t in THEME_NAMES])
     return table(spark, sf_dir, "embeddings").select(
         F.concat(F.lit("V"), F.col("vec_id")).alias("segment_id"),
         "vec_id",
         F.col("vec_id").alias("row_seq"),
-        F.concat(F.lit("R"), F.floor(F.col("vec_id") / N_ADS)).alias("respondent_id"),
-        F.concat(F.lit("AD"), F.col("vec_id") % N_ADS).alias("ad_id"),
+        F.concat(F.lit("R"), F.col("vec_id") % VECTORS_PER_AD).alias("respondent_id"),
+        F.concat(F.lit("AD"), F.floor(F.col("vec_id") / VECTORS_PER_AD)).alias("ad_id"),
         F.lit("b").alias("brand"),
         F.lit("p").alias("platform"),
         (F.col("vec_id") % 3 + 1).cast("int").alias("order_shown"),
@@ -146,17 +149,17 @@ def judge_replies(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def probes(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Per conversation: its opening turn against itself said twice, and the next turn."""
+    """Per turn that has a next one: itself against itself said twice, and the next turn."""
     dim = STUDY.output_dim
-    turns = table(spark, sf_dir, "conversations", "conv_id").groupBy("conv_id").agg(
-        F.max(F.when(F.col("turn") == 0, F.col("text"))).alias("opening"),
-        F.max(F.when(F.col("turn") == 1, F.col("text"))).alias("reply"),
-    )
+    turns = table(spark, sf_dir, "conversations").select("conv_id", "turn", "text")
+    follows = turns.select("conv_id", (F.col("turn") - 1).alias("turn"), F.col("text").alias("reply"))
+    turns = turns.withColumnRenamed("text", "opening").join(follows, ["conv_id", "turn"])
     pairs = F.array(
         F.struct(F.lit("similar").alias("kind"), F.concat_ws(" ", "opening", "opening").alias("other")),
         F.struct(F.lit("unrelated").alias("kind"), F.col("reply").alias("other")),
     )
-    exploded = turns.select(F.col("conv_id").alias("probe"), "opening", F.explode(pairs).alias("p"))
+    probe = F.concat_ws("-", "conv_id", "turn")
+    exploded = turns.select(probe.alias("probe"), "opening", F.explode(pairs).alias("p"))
     return exploded.select(
         "probe",
         F.col("p.kind").alias("kind"),

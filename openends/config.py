@@ -132,7 +132,7 @@ class Study:
     n_trees: int = 300
     conversations_grid: tuple[int, ...] = (5, 10, 20, 30, 50)
     n_repeats: int = 5
-    judge_sample_size: int = 30
+    judge_sample_size: int | None = None
     judge_constructs: tuple[str, ...] = ("enjoyability", "authenticity")
     seed: int = 42
 

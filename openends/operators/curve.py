@@ -16,13 +16,17 @@ from openends.operators.training import train
 log = logging.getLogger("openends")
 
 CELL = ["n_per_ad", "repeat"]
+CONVERSATION = ["ad_id", "respondent_id"]
 
 
 def sampled_responses(
     responses: DataFrame, grid: Sequence[int], n_repeats: int, seed: int
 ) -> DataFrame:
-    """Sampled rows of every repeat with their rank; at most ads x repeats x max(grid)."""
-    repeats = responses.select("ad_id", "respondent_id", "row_seq").withColumn(
+    """Sampled conversations of every repeat with their rank; at most ads x repeats x max(grid).
+
+    A conversation is a pair of ad and respondent, however many rows it has.
+    """
+    repeats = responses.select(*CONVERSATION).distinct().withColumn(
         "repeat", F.explode(F.sequence(F.lit(0), F.lit(n_repeats - 1)))
     )
     return sample_per_group(
@@ -31,27 +35,25 @@ def sampled_responses(
         ["respondent_id"],
         max(grid),
         F.lit(seed) + F.col("repeat"),
-        ties=["row_seq"],
     )
 
 
 def sampled_once(responses: DataFrame, sample: DataFrame) -> DataFrame:
     """Responses that are part of any sample; they need a score only once."""
-    keys = ["ad_id", "respondent_id", "row_seq"]
-    return responses.join(sample.select(*keys).distinct(), keys, "left_semi")
+    return responses.join(sample.select(*CONVERSATION).distinct(), CONVERSATION, "left_semi")
 
 
 def with_cells(rows: DataFrame, sample: DataFrame, grid: Sequence[int]) -> DataFrame:
     """Copy rows into every (n_per_ad, repeat) cell they are sampled for.
 
-    The sample of n conversations is the first n of the seeded order, so a row of
-    rank r belongs to all sizes of at least r.
+    The sample of n conversations is the first n of the seeded order, so a conversation
+    of rank r belongs to all sizes of at least r.
     """
     sizes = F.array(*[F.lit(n) for n in grid])
     cells = sample.withColumn(
         "n_per_ad", F.explode(F.filter(sizes, lambda n: n >= F.col("sample_rank")))
     ).drop("sample_rank")
-    return rows.join(cells, ["ad_id", "respondent_id", "row_seq"])
+    return rows.join(cells, CONVERSATION)
 
 
 def learning_curve(
@@ -69,7 +71,8 @@ def learning_curve(
     """Mean and population std of grouped accuracy per number of conversations.
 
     `cell_features` holds the ad features of all cells, computed by one plan; only
-    the model fits go cell by cell, `parallelism` cells at a time. A cell that cannot be scored is left out.
+    the model fits go cell by cell, `parallelism` cells at a time. A cell that cannot be scored
+    is left out; `n_repeats` tells how many stand behind a mean.
     """
 
     def cell_accuracy(cell: tuple[int, int]) -> tuple[int, int, float] | None:
@@ -82,7 +85,6 @@ def learning_curve(
         except ValueError as error:
             log.warning("cell n=%d repeat=%d left out: %s", n, repeat, error)
             return None
-        result.rows.unpersist()
         return n, repeat, result.mean_score
 
     with ThreadPoolExecutor(parallelism) as pool:
@@ -92,6 +94,7 @@ def learning_curve(
         scores, "n_conversations int, repeat int, accuracy double"
     )
     return table.groupBy("n_conversations").agg(
+        F.count("accuracy").alias("n_repeats"),
         F.avg("accuracy").alias("mean_accuracy"),
         F.stddev_pop("accuracy").alias("std_accuracy"),
     )

@@ -41,7 +41,7 @@ def judged_segments(
         ["segment_id"], [f"anchor_{c}" for c in constructs], "column", "anchor_score"
     )
     named = long.select(
-        "segment_id", F.substring("column", 8, 1000).alias("construct"), "anchor_score"
+        "segment_id", F.expr("substring(column, length('anchor_') + 1)").alias("construct"), "anchor_score"
     )
     if segments is not None:
         with_text = segments.filter(F.length("text") > 0).select("segment_id")

@@ -9,6 +9,8 @@ from pyspark.sql import functions as F
 
 # A key with more rows than this is spread over several tasks.
 ROWS_PER_SLICE = 1_000_000
+# Places over which rows of one key that cannot match are dealt.
+SPREAD = 65_536
 
 
 def attach_lookup(
@@ -19,6 +21,7 @@ def attach_lookup(
     how: str = "left",
     rows_per_slice: int = ROWS_PER_SLICE,
     sizes: DataFrame | None = None,
+    may_match: Column | None = None,
 ) -> DataFrame:
     """Join `rows` to `lookup` (unique on `on`), spreading hot keys.
 
@@ -28,6 +31,10 @@ def attach_lookup(
     each row picks its slice by `row_hash`, so no task sees more than about
     `rows_per_slice` rows of one key.
 
+    Rows for which `may_match` is not true cannot have a partner. They are dealt out by
+    `row_hash` whatever their key, so a hot key that the lookup leaves out, such as an
+    empty text, is spread as well; a left join keeps them.
+
     Only keys with more than one slice are broadcast, to tell the rows their
     number of slices; `sizes` gives keys and `n_rows` for that where the lookup
     itself is costly to compute. There are fewer than N / rows_per_slice such keys for N
@@ -36,8 +43,12 @@ def attach_lookup(
     on = list(on)
     slices = F.ceil(F.col("n_rows") / F.lit(rows_per_slice)).cast("int").alias("_slices")
     hot = (lookup if sizes is None else sizes).filter(F.col("n_rows") > rows_per_slice)
+    place = F.pmod(row_hash, F.coalesce(F.col("_slices"), F.lit(1))).cast("int")
+    if may_match is not None:
+        elsewhere = (-1 - F.pmod(row_hash, F.lit(SPREAD))).cast("int")
+        place = F.when(may_match, place).otherwise(elsewhere)
     spread_rows = rows.join(F.broadcast(hot.select(*on, slices)), on, "left").withColumn(
-        "_slice", F.pmod(row_hash, F.coalesce(F.col("_slices"), F.lit(1))).cast("int")
+        "_slice", place
     )
     spread_lookup = (
         lookup.select("*", slices)

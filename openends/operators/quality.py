@@ -43,10 +43,11 @@ def quality_gate(
 ) -> DataFrame:
     """Add norm_text, token_count, the four flags and `quarantined`.
 
-    Copies are counted in two steps. The first counts rows per respondent, ad,
-    theme and text digest with map-side combining. Both copy checks ask for the
-    same columns of it and so roll up the same shuffled result. Only texts that do
-    repeat are then joined back, with hot texts spread over tasks.
+    Copies are counted per theme, text digest, respondent and ad with map-side combining.
+    Both checks are answered on those counts, which hold no text, and only the keys that
+    are flagged are joined back, in one join; hot keys are cut into slices and rows that no check can
+    flag, such as blanks, are dealt out evenly. A text moves once at most, and not at all
+    where only the flags are asked for.
 
     `distinct_respondents` counts respondents instead of rows in the
     cross-respondent check. `within` keeps resampling cells apart. `materialise`
@@ -55,56 +56,73 @@ def quality_gate(
     """
     within = list(within)
     # The coalesce and the filter state what the joins below need: no key is NULL.
-    # Spark would otherwise add its own checks per join, and the two roll-ups could
-    # no longer share one shuffle.
     digest = F.coalesce(tx.digest(F.col("norm_text")), F.lit(b""))
     rows = text_features(segments).withColumns(
-        {"_digest": digest, "_norm_len": F.length("norm_text")}
+        {
+            "_digest": digest,
+            "_norm_len": F.length("norm_text"),
+            "flag_empty": F.length("text") == 0,
+        }
     )
     if materialise:
         # norm_text is as long as the text, so it is redone, if asked for, not stored.
         rows = cut_lineage(rows.drop("norm_text"))
         rows = rows.withColumn("norm_text", tx.match_text(F.col("text")))
+    rows = rows.withColumn(
+        "flag_too_short", ~F.col("flag_empty") & (F.col("token_count") < min_tokens)
+    )
+    text_key = [*within, "theme", "_digest"]
+    row_key = [*text_key, "respondent_id", "ad_id"]
     keyed = rows.filter("theme IS NOT NULL AND respondent_id IS NOT NULL AND ad_id IS NOT NULL")
-    counted = keyed.groupBy(*within, "theme", "_digest", "respondent_id", "ad_id").agg(
+    counted = keyed.filter("_norm_len > 0").groupBy(*row_key).agg(
         F.count(F.lit(1)).alias("n"), F.max("_norm_len").alias("norm_len")
     )
 
     def repeated(by: str, min_len: int, repeats: Column, mark: str) -> DataFrame:
-        keys = [*within, "theme", "_digest", by]
-        totals = counted.groupBy(*keys).agg(
-            F.sum("n").alias("n_rows"),
+        # Both checks ask for the same columns of the counts, and so read one shuffle.
+        totals = counted.groupBy(*text_key, by).agg(
+            F.count(F.lit(1)).alias("n_rows"),
             repeats.alias("n_repeats"),
             F.max("norm_len").alias("norm_len"),
         )
-        found = (F.col("n_repeats") > 1) & (F.col("norm_len") >= min_len)
-        return totals.filter(found).select(*keys, "n_rows", F.lit(True).alias(mark))
+        found = totals.filter((F.col("n_repeats") > 1) & (F.col("norm_len") >= min_len))
+        return found.select(*text_key, by, "n_rows", F.lit(True).alias(mark))
 
+    long = F.col("norm_len") >= near_duplicate_min_len
     same_respondent = repeated("respondent_id", 1, F.sum("n"), "_same_respondent")
     repeats = F.count(F.lit(1)) if distinct_respondents else F.sum("n")
     same_ad = repeated("ad_id", near_duplicate_min_len, repeats, "_same_ad")
-    row_hash = F.xxhash64("segment_id", "row_seq")
+    key_hash = F.xxhash64(*row_key)
     marked = attach_lookup(
-        rows,
+        counted,
         same_respondent,
-        [*within, "theme", "_digest", "respondent_id"],
-        row_hash,
+        [*text_key, "respondent_id"],
+        key_hash,
         rows_per_slice=rows_per_slice,
     )
     marked = attach_lookup(
         marked,
         same_ad,
-        [*within, "theme", "_digest", "ad_id"],
-        row_hash,
+        [*text_key, "ad_id"],
+        key_hash,
         rows_per_slice=rows_per_slice,
+        may_match=long,
     )
-    empty = F.length("text") == 0
-    flagged = marked.withColumns(
+    copies = marked.filter("_same_respondent OR _same_ad").select(
+        *row_key, F.col("n").alias("n_rows"), "_same_respondent", "_same_ad"
+    )
+    flagged = attach_lookup(
+        rows,
+        copies,
+        row_key,
+        F.xxhash64("segment_id", "row_seq"),
+        rows_per_slice=rows_per_slice,
+        may_match=F.col("_norm_len") > 0,
+    ).withColumns(
         {
-            "flag_empty": empty,
-            "flag_too_short": ~empty & (F.col("token_count") < min_tokens),
             "flag_duplicate_verbatim": F.col("_same_respondent").isNotNull(),
-            "flag_near_identical_cross_respondent": ~empty & F.col("_same_ad").isNotNull(),
+            "flag_near_identical_cross_respondent": ~F.col("flag_empty")
+            & F.col("_same_ad").isNotNull(),
         }
     )
     any_flag = F.col(FLAGS[0])

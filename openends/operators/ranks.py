@@ -7,8 +7,6 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-HASH_BUCKETS = 4096
-
 
 def seeded_hash(seed: Column | int, *keys: Column) -> Column:
     """Repeatable pseudo-random order: MD5 of seed and keys."""
@@ -46,10 +44,10 @@ def average_ranks(
     Equal values are combined first. Approximate quantiles then cut each group
     into even ranges; they only balance the work, the ranks are exact. Groups are
     constructs, so the quantile and range tables are bounded by the settings:
-    constructs x `ranges` rows.
+    constructs x `ranges` rows. Missing values have no rank and move no other.
     """
     fractions = [(i + 1) / ranges for i in range(ranges - 1)]
-    counted = rows.groupBy(group, value).agg(F.count(F.lit(1)).alias("_n"))
+    counted = rows.filter(F.col(value).isNotNull()).groupBy(group, value).agg(F.count(F.lit(1)).alias("_n"))
     cuts = counted.groupBy(group).agg(
         F.percentile_approx(value, fractions, 1000).alias("_cuts")
     )

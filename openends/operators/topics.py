@@ -9,17 +9,20 @@ from __future__ import annotations
 import itertools
 from collections.abc import Sequence
 
-from pyspark.ml.clustering import KMeans
+import numpy as np
 from pyspark.ml.feature import PCA, StopWordsRemover
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from openends.functions import text as tx
+from openends.operators.components import components
 from openends.operators.lookup import attach_lookup
 from openends.sources.shared import cut_lineage
 
 NOISE = -1
+# Points, chosen by hash, that starting centres are taken from.
+CENTRE_SAMPLE = 2_000
 
 
 def reduce_pca(vectors: DataFrame, dim: int, column: str = "vector") -> DataFrame:
@@ -33,22 +36,69 @@ def reduce_pca(vectors: DataFrame, dim: int, column: str = "vector") -> DataFram
     )
 
 
+def _spread_centres(sample: np.ndarray, k: int, seed: int) -> np.ndarray:
+    """Starting centres: points of the sample, drawn by their squared distance to those drawn."""
+    random = np.random.default_rng(seed)
+    centres = [sample[0]]
+    while len(centres) < min(k, len(sample)):
+        apart = ((sample[:, None, :] - np.array(centres)[None]) ** 2).sum(axis=2).min(axis=1)
+        if apart.sum() <= 0:
+            break
+        at = np.searchsorted(np.cumsum(apart), random.random() * apart.sum(), side="right")
+        centres.append(sample[min(at, len(sample) - 1)])
+    return np.array(centres)
+
+
+def nearest(coords: Column, centres: np.ndarray) -> Column:
+    """Number of the centre next to a point, the first of equals."""
+    apart = F.transform(
+        F.lit(centres.tolist()),
+        lambda c: F.aggregate(
+            F.zip_with(coords, c, lambda x, y: (x - y) * (x - y)), F.lit(0.0), lambda s, x: s + x
+        ),
+    )
+    least = F.array_min(F.transform(apart, lambda d, i: F.struct(d.alias("d"), i.alias("i"))))
+    return least["i"]
+
+
 def kmeans_topics(
-    points: DataFrame, k: int, min_cluster_size: int = 8, seed: int = 42
+    points: DataFrame,
+    k: int,
+    min_cluster_size: int = 8,
+    seed: int = 42,
+    rounds: int = 20,
+    key: str = "segment_id",
 ) -> DataFrame:
-    """Assign every point to one of k groups by its `coords`; small groups are noise."""
-    features = points.withColumn("_coords", array_to_vector("coords"))
-    model = KMeans(k=k, seed=seed, featuresCol="_coords", predictionCol="_group").fit(features)
-    assigned = model.transform(features).drop("_coords")
-    large = (
-        assigned.groupBy("_group")
-        .agg(F.count(F.lit(1)).alias("_size"))
-        .filter(F.col("_size") >= min_cluster_size)
-        .select("_group", F.col("_group").alias("topic_id"))
-    )
-    # At most k rows.
-    named = assigned.join(F.broadcast(large), "_group", "left").drop("_group")
-    return named.withColumn("topic_id", F.coalesce("topic_id", F.lit(NOISE)))
+    """Assign every point to one of k groups by its `coords`; small groups are noise.
+
+    The groups depend on the points and the seed, not on partitions: starting centres come from
+    the CENTRE_SAMPLE points of smallest seeded hash, a round's means are rounded, and groups are
+    numbered in the order of their centres. A round reads the coordinates once, and k
+    rows of sums come back.
+    """
+    order = F.md5(F.concat_ws("|", F.lit(str(seed)), F.col(key).cast("string")))
+    narrow = cut_lineage(points.select(order.alias("order"), "coords"))
+    chosen = narrow.orderBy("order", "coords").limit(CENTRE_SAMPLE).collect()
+    if not chosen:
+        return points.withColumn("topic_id", F.lit(NOISE))
+    centres = _spread_centres(np.array([r.coords for r in chosen], dtype=float), k, seed)
+    sums = [F.sum(F.col("coords")[i]).alias(f"s{i}") for i in range(centres.shape[1])]
+    for _ in range(rounds):
+        grouped = narrow.select(nearest(F.col("coords"), centres).alias("group"), "coords")
+        means = centres.copy()
+        for r in grouped.groupBy("group").agg(F.count(F.lit(1)).alias("n"), *sums).collect():
+            means[r.group] = [round(r[f"s{i}"] / r.n, 9) for i in range(centres.shape[1])]
+        moved = float(np.abs(means - centres).max())
+        centres = means
+        if moved < 1e-7:
+            break
+    centres = centres[np.lexsort(centres.T[::-1])]
+    assigned = points.withColumn("_group", nearest(F.col("coords"), centres))
+    # At most k sizes.
+    sizes = narrow.select(nearest(F.col("coords"), centres).alias("group")).groupBy("group").count()
+    large = [r["group"] for r in sizes.collect() if r["count"] >= min_cluster_size]
+    kept = F.when(F.col("_group").isin(large), F.col("_group"))
+    return assigned.withColumn("topic_id", F.coalesce(kept, F.lit(NOISE))).drop("_group")
 
 
 def cell_of(coords: Column, cell_size: float) -> Column:
@@ -56,27 +106,15 @@ def cell_of(coords: Column, cell_size: float) -> Column:
     return F.transform(coords, lambda x: F.floor(x / F.lit(cell_size)).cast("int"))
 
 
-def connected_cells(edges: DataFrame, cells: DataFrame, hops: int = 4) -> DataFrame:
+def connected_cells(edges: DataFrame, cells: DataFrame) -> DataFrame:
     """Label every cell with the smallest cell it is connected to.
 
-    `edges` links each cell to itself and its neighbours, a fixed number at most,
-    so no key is hot. A round passes the smallest label on by `hops` cells and is
-    written to the shared folder; the number of rounds grows with the widest group,
-    not with the data.
+    `edges` links each cell to itself and its neighbours.
     """
-    labels = cells.select("cell", F.col("cell").alias("label"))
-    while True:
-        moved = labels.withColumn("before", F.col("label"))
-        for _ in range(hops):
-            offers = edges.join(moved.withColumnRenamed("cell", "other"), "other")
-            own = F.when(F.col("other") == F.col("cell"), F.col("before"))
-            moved = offers.groupBy("cell").agg(
-                F.min("label").alias("label"), F.max(own).alias("before")
-            )
-        moved = cut_lineage(moved)
-        labels = moved.select("cell", "label")
-        if moved.filter(F.col("label") != F.col("before")).isEmpty():
-            return labels
+    found = components(edges, "cell", "other").withColumnRenamed("node", "cell")
+    return cells.select("cell").join(found, "cell", "left").select(
+        "cell", F.coalesce("component", "cell").alias("label")
+    )
 
 
 def density_topics(
@@ -164,12 +202,12 @@ def topic_summary(assigned: DataFrame) -> DataFrame:
 
 
 def topic_terms(
-    assigned: DataFrame, stop_words: Sequence[str] | None = None, max_terms: int = 5000
+    assigned: DataFrame, stop_words: Sequence[str] | None = None, max_terms: int | None = None
 ) -> DataFrame:
     """Class-based TF-IDF score of every vocabulary term in every topic.
 
-    The vocabulary is the `max_terms` most frequent terms, ties by term. Text is
-    split into terms and counted per topic before anything is shuffled, so a topic
+    The vocabulary is all terms, or if asked for the `max_terms` most frequent, ties by
+    term. Text is split into terms and counted per topic before anything is shuffled, so a topic
     with most of the texts costs no more than its vocabulary.
     """
     if stop_words is None:
@@ -183,15 +221,12 @@ def topic_terms(
         .groupBy("topic_id", "term")
         .agg(F.count(F.lit(1)).alias("n"))
     )
-    vocabulary = (
-        counted.groupBy("term")
-        .agg(F.sum("n").alias("total"), F.count(F.lit(1)).alias("n_topics_with"))
-        .orderBy(F.desc("total"), "term")
-        .limit(max_terms)
-        .select("term", "n_topics_with")
+    vocabulary = counted.groupBy("term").agg(
+        F.sum("n").alias("total"), F.count(F.lit(1)).alias("n_topics_with")
     )
-    # Both lookups are bounded: max_terms rows, and one row with the topic count.
-    kept = counted.join(F.broadcast(vocabulary), "term")
+    if max_terms is not None:
+        vocabulary = vocabulary.orderBy(F.desc("total"), "term").limit(max_terms)
+    kept = counted.join(vocabulary.select("term", "n_topics_with"), "term")
     n_topics = topical.agg(F.count_distinct("topic_id").alias("n_topics"))
     topic_total = F.sum("n").over(Window.partitionBy("topic_id"))
     frequency = F.col("n") / F.greatest(topic_total, F.lit(1))

@@ -21,7 +21,6 @@ log = logging.getLogger("openends")
 # Columns of the ad table that are no model input.
 NOT_FEATURES = ["ad_id", "n_conversations"]
 MAX_DEPTH = 30
-ADS_PER_PARTITION = 5000
 
 
 @dataclass(frozen=True)
@@ -164,7 +163,7 @@ def training_rows(
     """(ad_id, target, label, fold, features) with the names of the inputs.
 
     The table has one row per ad. It is materialised before the folds are dealt
-    out, and cached for the fits; small tables get few partitions.
+    out, and again, with the features assembled, for the fits.
     """
     names = feature_names(features)
     rows = cut_lineage(
@@ -172,7 +171,6 @@ def training_rows(
     )
     n_ads = rows.select("ad_id").distinct().count()
     splits = _splits(n_ads, n_splits)
-    rows = rows.coalesce(n_ads // ADS_PER_PARTITION + 1)
     rows = rows.join(group_folds(rows, splits, seed), "ad_id")
     if task == "regression":
         rows = rows.withColumn("label", F.col("target").cast("double"))
@@ -180,7 +178,7 @@ def training_rows(
         rows = encode_target(rows)
     assembled = VectorAssembler(inputCols=names, outputCol="features").transform(rows)
     kept = assembled.select("ad_id", "target", "label", "fold", "features")
-    return kept.coalesce(n_ads // ADS_PER_PARTITION + 1).cache(), names
+    return cut_lineage(kept), names
 
 
 def train(
@@ -219,7 +217,7 @@ def train(
     predictions = parts[0]
     for part in parts[1:]:
         predictions = predictions.unionByName(part)
-    scores = (fold_r2 if regression else fold_accuracy)(predictions).cache()
+    scores = cut_lineage((fold_r2 if regression else fold_accuracy)(predictions))
     fold_scores = [r.score for r in scores.orderBy("fold").collect()]
     summary = score_summary(scores).first()
     return TrainResult(
@@ -244,3 +242,15 @@ def fold_table(spark: SparkSession, result: TrainResult) -> DataFrame:
         ],
         "task string, model_name string, metric string, fold int, score double",
     )
+
+
+def report_table(spark: SparkSession, results: list[TrainResult]) -> DataFrame:
+    """Mean and standard deviation of the metric per task; one row per task."""
+    return spark.createDataFrame(
+        [
+            (r.task, r.model_name, r.metric, r.mean_score, r.std_score, len(r.fold_scores))
+            for r in results
+        ],
+        "task string, model_name string, metric string, mean_score double, std_score double, "
+        "n_folds int",
+    )

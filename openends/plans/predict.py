@@ -81,13 +81,11 @@ def discover(embedded: DataFrame, study: Study) -> DataFrame:
     return assigned.select("segment_id", "row_seq", "ad_id", "topic_id", "text")
 
 
-def judge_report(
-    scored: DataFrame, replies: DataFrame, study: Study, sample: bool = True
-) -> DataFrame:
-    """Correlation with the judge on a seeded sample of segments per construct."""
+def judge_report(scored: DataFrame, replies: DataFrame, study: Study) -> DataFrame:
+    """Correlation with the judge on all replies, or on a seeded sample per construct if asked for."""
     names = list(study.judge_constructs)
     judged = judge.judged_segments(None, scored, replies, names)
-    if sample:
+    if study.judge_sample_size is not None:
         judged = ranks.sample_per_group(
             judged, ["construct"], ["segment_id"], study.judge_sample_size, study.seed
         )

@@ -25,12 +25,13 @@ log = logging.getLogger("openends")
 
 @dataclass(frozen=True)
 class TrainRun:
-    """Fold scores and top drivers per task, and the learning curve."""
+    """Fold scores, their summary and top drivers per task, and the learning curve."""
 
     prediction: PredictResult
     scores: DataFrame | None
     drivers: dict[str, DataFrame] = field(default_factory=dict)
     learning_curve: DataFrame | None = None
+    report: DataFrame | None = None
 
 
 def curve_features(
@@ -56,14 +57,17 @@ def curve_features(
     long = segments.build_segments(chosen, study.themes).filter("text != ''")
     scored = scored_segments(embed_segments(long, encoder, cache_path), study, encoder)
     keys = ["segment_id", "row_seq"]
-    scores = cut_lineage(scored.select(*keys, *rollup.score_columns(scored)))
+    # Rows that repeat share their keys, and so their scores.
+    scores = cut_lineage(
+        scored.select(*keys, *rollup.score_columns(scored)).dropDuplicates(keys)
+    )
     flagged = flagged_segments(curve.with_cells(responses, sample, grid), study, within=cell)
     rows = segments.scoreable(flagged).join(scores, keys)
     ads = rollup.ad_features(rollup.respondent_features(rows, within=cell), within=cell)
     if topic_of is None:
         return ads
     topical = rows.select(*cell, *keys, "ad_id").join(
-        topic_of.select(*keys, "topic_id"), keys
+        topic_of.select(*keys, "topic_id").dropDuplicates(keys), keys
     )
     wide = topics.topic_shares_wide(
         topics.topic_shares(topical, cell), topics.topic_ids(topic_of), cell
@@ -78,19 +82,22 @@ def train_run(
     encoder: EncoderSettings | None = None,
     cache_path: str | None = None,
     with_curve: bool = True,
+    row_order: str | None = None,
+    replies: DataFrame | None = None,
 ) -> TrainRun:
     """Predict, then train every task the labels allow.
 
-    A task the data cannot support is skipped with a warning.
+    A task the data cannot support is skipped with a warning, and a learning curve
+    that fails leaves the models.
     """
-    prediction = predict(raw, study, encoder, cache_path)
+    prediction = predict(raw, study, encoder, cache_path, row_order, replies)
     features = cut_lineage(prediction.ad_features)
     dropped = training.unlabelled_ads(features, labels).count()
     if dropped:
         log.warning("%d ad(s) have no label and are left out of training", dropped)
     spark = raw.sparkSession
     tasks = ["3class", "binary"] + (["regression"] if "score" in labels.columns else [])
-    scores, top = None, {}
+    scores, summary, top = None, [], {}
     for task in tasks:
         try:
             result = training.train(
@@ -102,15 +109,32 @@ def train_run(
             continue
         table = training.fold_table(spark, result)
         scores = table if scores is None else scores.unionByName(table)
+        summary.append(result)
         if task != "regression":
             top[task] = drivers.top_drivers(drivers.permutation_importance(result, study.seed))
     learned = None
     if with_curve:
-        responses = response_tables.load_responses(raw, study.themes)
-        cells = cut_lineage(curve_features(responses, study, encoder, cache_path, prediction.topics))
-        learned = curve.learning_curve(
-            cells, labels, study.conversations_grid, study.n_repeats,
-            model_name=study.model_name, n_splits=study.n_splits, seed=study.seed,
-            n_trees=study.n_trees,
-        )
-    return TrainRun(prediction, scores, top, learned)
+        try:
+            learned = _curve(raw, labels, study, encoder, cache_path, row_order, prediction)
+        except Exception:
+            log.exception("no learning curve; the models stand")
+    report = training.report_table(spark, summary) if summary else None
+    return TrainRun(prediction, scores, top, learned, report)
+
+
+def _curve(
+    raw: DataFrame,
+    labels: DataFrame,
+    study: Study,
+    encoder: EncoderSettings | None,
+    cache_path: str | None,
+    row_order: str | None,
+    prediction: PredictResult,
+) -> DataFrame:
+    responses = response_tables.load_responses(raw, study.themes, row_order)
+    cells = cut_lineage(curve_features(responses, study, encoder, cache_path, prediction.topics))
+    return curve.learning_curve(
+        cells, labels, study.conversations_grid, study.n_repeats,
+        model_name=study.model_name, n_splits=study.n_splits, seed=study.seed,
+        n_trees=study.n_trees,
+    )

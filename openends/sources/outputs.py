@@ -44,6 +44,8 @@ def write_training(run: TrainRun, folder: str) -> None:
     report = f"{folder}/model_report"
     if run.scores is not None:
         write_json(run.scores, f"{report}/fold_scores.json")
+    if run.report is not None:
+        write_json(run.report, f"{report}/summary.json")
     for task, table in run.drivers.items():
         write_json(table, f"{report}/top_drivers_{task}.json")
     if run.learning_curve is not None:

@@ -64,6 +64,12 @@ def check_order(raw: DataFrame) -> None:
         )
 
 
+def _or_nothing(column: str) -> Column:
+    """Text of a column with a mark for NULL, which a hash would skip: the same answer in
+    another column is another row."""
+    return F.coalesce(F.col(f"`{column}`").cast("string"), F.lit("\u0000"))
+
+
 def _keys_present() -> Column:
     return (F.col("respondent_id") != "") & (F.col("ad_id") != "")
 
@@ -87,7 +93,7 @@ def _cleaned(raw: DataFrame, themes: Mapping[str, Mapping], row_order: str | Non
     sequence = (
         F.col(f"`{row_order}`").cast("bigint")
         if row_order
-        else F.xxhash64(*[F.col(f"`{c}`").cast("string") for c in required])
+        else F.xxhash64(*[_or_nothing(c) for c in required])
     )
     return raw.select(
         tx.clean_key(F.col("`Respondent ID`")).alias("respondent_id"),

@@ -143,3 +143,39 @@ def test_both_copy_checks_read_one_shuffle(spark, tmp_path):
     # The answers are read twice: once for the counts, once to be flagged.
     assert plan.count("FileScan") == 2
     assert "Cartesian" not in plan and "NestedLoop" not in plan
+
+
+def test_blank_and_short_answers_do_not_meet_in_one_task(spark):
+    """Rows that cannot be flagged are dealt out evenly, whatever their key."""
+    n = 20_000
+    rows = spark.range(n).select(
+        F.concat(F.lit("s"), "id").alias("segment_id"),
+        F.col("id").alias("row_seq"),
+        F.concat(F.lit("r"), F.col("id") % 2 * F.col("id")).alias("respondent_id"),
+        F.lit("a1").alias("ad_id"),
+        F.lit("Memory").alias("theme"),
+        F.when(F.col("id") % 2 == 0, "").otherwise("nothing").alias("text"),
+    )
+    settings = {
+        "spark.sql.adaptive.enabled": "false",
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.shuffle.partitions": "8",
+    }
+    before = {k: spark.conf.get(k) for k in settings}
+    try:
+        for k, v in settings.items():
+            spark.conf.set(k, v)
+        flagged = quality.quality_gate(rows, rows_per_slice=100)
+        sizes = [
+            r["count"] for r in flagged.groupBy(F.spark_partition_id().alias("p")).count().collect()
+        ]
+        report = quality.quality_report(flagged)
+        plan = report._jdf.queryExecution().executedPlan().toString()
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    assert sum(sizes) == n and max(sizes) < 1.5 * n / 8
+    exchanges = [line for line in plan.split("\n") if "Exchange" in line]
+    assert exchanges and not any("text#" in line for line in exchanges)
+    assert flagged.filter("flag_empty").count() == n // 2
+    assert flagged.filter("flag_duplicate_verbatim").count() == 0

@@ -176,3 +176,9 @@ def test_norm_and_pair_checks(spark):
     )
     found = {r.subject: r.status for r in checks.pair_check(probes).collect()}
     assert found == {"p": "ok", "q": "NOT DISCRIMINATING", "r": "SMALL GAP"}
+
+
+def test_missing_values_have_no_rank(spark):
+    rows = spark.createDataFrame([("g", None), ("g", 1.0), ("g", 2.0)], "g string, v double")
+    got = ranks.average_ranks(rows, "g", "v", "rank").orderBy("v").collect()
+    assert [(r.v, r["rank"], r.n_rows) for r in got] == [(1.0, 1.0, 1), (2.0, 2.0, 1)]

@@ -7,6 +7,8 @@ import pytest
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 
+from pyspark.sql import functions as F
+
 from openends.operators import topics
 
 SCHEMA = "segment_id string, ad_id string, topic_id int, text string"
@@ -129,3 +131,16 @@ def test_density_follows_long_chains_and_copies(spark):
     assert len({found[f"s{i}"] for i in range(60)}) == 1
     assert len({found[f"s{i}"] for i in range(60, 110)}) == 1
     assert found["s110"] == -1 and found["s0"] != found["s60"]
+
+
+def test_groups_do_not_depend_on_partitions(spark):
+    points = spark.range(600).select(
+        F.concat(F.lit("s"), "id").alias("segment_id"),
+        F.array(*[(F.xxhash64("id", F.lit(i)) % 1000 / 1000.0 + F.col("id") % 4).cast("double")
+                  for i in range(5)]).alias("coords"),
+    )
+    found = []
+    for parts in (3, 7):
+        rows = topics.kmeans_topics(points.repartition(parts), 10, 3).collect()
+        found.append({r.segment_id: r.topic_id for r in rows})
+    assert found[0] == found[1] and len(set(found[0].values())) > 3

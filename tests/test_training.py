@@ -166,3 +166,13 @@ def test_learning_curve_has_a_row_per_size_and_skips_broken_cells(ads, ad_labels
     ).collect()
     assert [r.n_conversations for r in table] == [5]
     assert table[0].mean_accuracy > 0.6 and table[0].std_accuracy == 0.0
+
+
+def test_cells_keep_their_size_when_rows_repeat(spark):
+    rows = [("a", f"r{i}", i) for i in range(6)] + [("a", "r1", 1), ("a", "r1", 99)]
+    df = spark.createDataFrame(rows, "ad_id string, respondent_id string, row_seq bigint")
+    sample = curve.sampled_responses(df, [2, 3], 4, 1)
+    cells = curve.with_cells(df.dropDuplicates(), sample, [2, 3])
+    sizes = cells.groupBy("n_per_ad", "repeat").agg(F.count_distinct("respondent_id").alias("n"))
+    assert all(r.n == r.n_per_ad for r in sizes.collect())
+    assert cells.filter("row_seq = 1").groupBy("n_per_ad", "repeat").count().filter("count > 1").isEmpty()
