@@ -16,16 +16,75 @@ SELECT doc_id,
 FROM plain WINDOW g AS (PARTITION BY t)
 """
 
-OP2_EDITED = """
-WITH rows AS (
-  SELECT doc_id, coalesce(text, '') AS t, length(coalesce(text, '')) AS n,
-         coalesce(lead(coalesce(text, '')) OVER (ORDER BY doc_id),
-                  first_value(coalesce(text, '')) OVER (ORDER BY doc_id)) AS following
-  FROM documents
+OP4 = r"""
+WITH RECURSIVE messages AS (
+  SELECT conv_id::BIGINT AS conv_id, turn::BIGINT AS turn, role, coalesce(text, '') AS t
+  FROM conversations WHERE conv_id IS NOT NULL AND turn IS NOT NULL
+), split AS (
+  SELECT conv_id, turn, regexp_split_to_array(t, '\r\n|\r|\n') AS l FROM messages
+), raw AS (
+  SELECT conv_id, turn, unnest(range(len(l))) AS line, unnest(l) AS raw FROM split
+), marked AS (
+  SELECT *, regexp_extract(raw, '^((?:[ \t]*>)+)', 1) AS marks FROM raw
+), parsed AS (
+  SELECT conv_id, turn, line, length(replace(replace(marks, ' ', ''), chr(9), '')) AS own_level,
+    trim(substr(raw, length(marks) + 1)) AS content FROM marked
+), levelled AS (
+  SELECT *, CASE WHEN own_level = 0 AND lead(own_level) OVER w > 0 AND regexp_matches(content,
+      '(?i)^\s*.{0,200}\b(wrote|writes|said|schrieb|écrit|escribió)\s*:\s*$')
+    THEN -1 ELSE own_level END AS level
+  FROM parsed WINDOW w AS (PARTITION BY conv_id, turn ORDER BY line)
+), begun AS (
+  SELECT *, CASE WHEN coalesce(lag(level) OVER w <> level, true) OR (content = '' AND level = 0)
+    THEN 1 ELSE 0 END AS begins
+  FROM levelled WINDOW w AS (PARTITION BY conv_id, turn ORDER BY line)
+), lines AS (
+  SELECT *, sum(begins) OVER (PARTITION BY conv_id, turn ORDER BY line) AS run FROM begun
+), runs AS (
+  SELECT conv_id, turn, run, level, string_agg(content, chr(10) ORDER BY line) AS content
+  FROM lines GROUP BY ALL
+), texts AS (
+  SELECT conv_id, turn, run, level, content, 'run' AS kind FROM runs
+  UNION ALL SELECT conv_id, turn, run, level, content, 'line' FROM lines WHERE level >= 0
+  UNION ALL SELECT conv_id, turn, 0, 0, string_agg(content, chr(10) ORDER BY line), 'whole'
+    FROM lines WHERE level = 0 GROUP BY 1, 2
+), normal AS (
+  SELECT *, trim(regexp_replace(lower(content), '\s+', ' ', 'g')) AS key FROM texts
+), firsts AS (
+  SELECT conv_id, key, min(turn) AS original FROM normal WHERE level = 0 AND key <> '' GROUP BY 1, 2
+), votes AS (
+  SELECT n.conv_id, n.turn, n.run, f.original, sum(length(n.key)) AS votes
+  FROM normal n JOIN firsts f USING (conv_id, key)
+  WHERE n.level > 0 AND n.key <> '' AND f.original < n.turn GROUP BY ALL
+), best AS (
+  SELECT conv_id, turn, run, original FROM votes
+  QUALIFY row_number() OVER (PARTITION BY conv_id, turn, run ORDER BY votes DESC, original DESC) = 1
+), quoted AS (
+  SELECT n.conv_id, n.turn, n.run, n.level, length(n.key) AS size, b.original
+  FROM normal n LEFT JOIN best b USING (conv_id, turn, run)
+  WHERE n.kind = 'run' AND n.level > 0 AND n.key <> ''
+), per_message AS (
+  SELECT conv_id, turn, count(*) AS n_passages, max(level) AS max_level,
+    count(original) AS n_linked,
+    arg_max(original, (-level, size, original)) FILTER (original IS NOT NULL) AS quoted
+  FROM quoted GROUP BY 1, 2
+), own AS (
+  SELECT conv_id, turn, regexp_replace(regexp_replace(string_agg(content, chr(10) ORDER BY line),
+    '\n{3,}', chr(10) || chr(10), 'g'), '^\s+|\s+$', '', 'g') AS text
+  FROM lines WHERE level = 0 GROUP BY 1, 2
+), replies AS (
+  SELECT m.conv_id, m.turn, m.role, coalesce(o.text, '') AS text,
+    coalesce(q.n_passages, 0) AS n_passages, coalesce(q.max_level, 0)::INT AS max_level,
+    coalesce(q.n_linked, 0) AS n_linked, coalesce(q.quoted, e.turn) AS reply_to
+  FROM messages m LEFT JOIN own o USING (conv_id, turn)
+  LEFT JOIN per_message q USING (conv_id, turn)
+  LEFT JOIN messages e ON e.conv_id = m.conv_id AND e.turn = m.turn - 1
+), placed AS (
+  SELECT conv_id, turn, turn AS thread, 0::BIGINT AS depth FROM replies WHERE reply_to IS NULL
+  UNION ALL SELECT r.conv_id, r.turn, p.thread, p.depth + 1
+  FROM placed p JOIN replies r ON r.conv_id = p.conv_id AND r.reply_to = p.turn
 )
-SELECT doc_id, n AS n_chars,
-       sha256(substr(t, 1, n - n // 4) || substr(following, 1, n // 4)) AS edited_sha256
-FROM rows
+SELECT * FROM replies JOIN placed USING (conv_id, turn)
 """
 
-ORACLE: dict[str, str] = {"op7_exact_dedup": OP7}
+ORACLE: dict[str, str] = {"op4_quotes": OP4, "op7_exact_dedup": OP7}
