@@ -66,7 +66,7 @@ def learning_curve(
     n_splits: int = 5,
     seed: int = 42,
     n_trees: int | None = None,
-    parallelism: int = 4,
+    parallelism: int = 8,
 ) -> DataFrame:
     """Mean and population std of grouped accuracy per number of conversations.
 
@@ -80,7 +80,8 @@ def learning_curve(
         features = cell_features.filter((F.col("n_per_ad") == n) & (F.col("repeat") == repeat))
         try:
             result = train(
-                features.drop(*CELL), labels, task, model_name, n_splits, seed + repeat, n_trees
+                features.drop(*CELL), labels, task, model_name, n_splits, seed + repeat, n_trees,
+                final=False,
             )
         except ValueError as error:
             log.warning("cell n=%d repeat=%d left out: %s", n, repeat, error)

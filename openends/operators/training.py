@@ -34,7 +34,7 @@ class TrainResult:
     mean_score: float
     std_score: float
     feature_names: list[str]
-    model: Model
+    model: Model | None
     rows: DataFrame
 
 
@@ -190,8 +190,9 @@ def train(
     seed: int = 42,
     n_trees: int | None = None,
     parallelism: int = 4,
+    final: bool = True,
 ) -> TrainResult:
-    """Score a model on held-out groups of ads, then fit it on all labelled ads.
+    """Score a model on held-out groups of ads, then, unless `final` is off, fit it on all.
 
     `parallelism` fits run at the same time; each is a Spark job.
     """
@@ -211,9 +212,9 @@ def train(
         return scored.select("fold", "label", "prediction")
 
     with ThreadPoolExecutor(parallelism) as pool:
-        final = pool.submit(fit, rows)
+        whole = pool.submit(fit, rows) if final else None
         parts = list(pool.map(held_out, folds))
-        model = final.result()
+        model = whole.result() if whole else None
     predictions = parts[0]
     for part in parts[1:]:
         predictions = predictions.unionByName(part)
