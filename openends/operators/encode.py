@@ -53,6 +53,10 @@ def retrying(settings: EncoderSettings) -> Encoder:
                 wait = settings.backoff_seconds * 2**attempt
                 log.warning("encoder failed, next try in %.1f s", wait, exc_info=True)
                 time.sleep(wait)
+        if matrix.ndim != 2 or len(matrix) != len(texts):
+            raise EncoderConfigError(
+                f"the encoder returned shape {matrix.shape} for {len(texts)} texts"
+            )
         if matrix.shape[1] < settings.dim:
             raise EncoderConfigError(
                 f"output dimension {settings.dim} exceeds the encoder's {matrix.shape[1]}"

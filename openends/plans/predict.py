@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from openends.config import Study, active_themes
 from openends.functions import text as tx
 from openends.operators import anchors, judge, quality, ranks, rollup, segments, topics
-from openends.operators.encode import EncoderSettings, embed_segments, encode_texts
+from openends.operators.encode import EncoderSettings, embed_segments
 from openends.sources import responses as response_tables
 from openends.sources.shared import cut_lineage
 
@@ -40,12 +40,15 @@ def built_in_encoder(study: Study) -> EncoderSettings:
     return EncoderSettings(study.encoder_name, study.output_dim)
 
 
-def study_centroids(spark: SparkSession, study: Study, encoder: EncoderSettings) -> DataFrame:
-    """Centroids of the study's constructs; phrases are encoded like answers."""
-    phrases = anchors.anchor_table(spark, study.anchor_sets())
-    keyed = phrases.withColumnRenamed("construct", "key")
-    vectors = encode_texts(keyed.select("key", "theme", "text"), encoder)
-    return anchors.centroids(vectors.withColumnRenamed("key", "construct"))
+def study_centroids(
+    spark: SparkSession, study: Study, encoder: EncoderSettings, cache_path: str | None = None
+) -> DataFrame:
+    """Centroids of the study's constructs; phrases are encoded, and cached, like answers."""
+    phrases = anchors.anchor_table(spark, study.anchor_sets()).withColumns(
+        {"segment_id": F.col("construct"), "row_seq": F.lit(0).cast("bigint")}
+    )
+    vectors = embed_segments(phrases, encoder, cache_path)
+    return anchors.centroids(vectors.select("construct", "theme", "vector"))
 
 
 def flagged_segments(
@@ -62,10 +65,12 @@ def flagged_segments(
     )
 
 
-def scored_segments(embedded: DataFrame, study: Study, encoder: EncoderSettings) -> DataFrame:
+def scored_segments(
+    embedded: DataFrame, study: Study, encoder: EncoderSettings, cache_path: str | None = None
+) -> DataFrame:
     """Scores on [0, 1], or on the calibrated range, for segments with vectors."""
     names = anchors.construct_names(study.anchor_sets())
-    table = study_centroids(embedded.sparkSession, study, encoder)
+    table = study_centroids(embedded.sparkSession, study, encoder, cache_path)
     centroids = anchors.collect_centroids(table, names)
     scored = anchors.score_wide_arrow(embedded, centroids, names)
     return anchors.calibrate_scores(scored, [f"anchor_{n}" for n in names], study.calibration)
@@ -104,7 +109,8 @@ def predict(
 
     Settings are checked before any data is read. What is read more than once is
     materialised in the shared folder: the flagged segments, the vectors if topics
-    need them, and the scores without texts. Nothing is encoded twice.
+    need them, and the scores without texts. With a cache path no text, answer or phrase, is
+    encoded twice, nor again in a later run.
     """
     study.calibration.check()
     active_themes(study.themes)
@@ -120,7 +126,7 @@ def predict(
     if study.run_discovery:
         single = F.col("vector").cast("array<float>")
         embedded = cut_lineage(embedded.withColumn("vector", single))
-    scored = cut_lineage(scored_segments(embedded.drop("text"), study, encoder))
+    scored = cut_lineage(scored_segments(embedded.drop("text"), study, encoder, cache_path))
     _warn_unscored(scored)
 
     # Quarantined segments have no score; they only count when asked for.

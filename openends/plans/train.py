@@ -55,7 +55,9 @@ def curve_features(
     )
     chosen = curve.sampled_once(responses, sample)
     long = segments.build_segments(chosen, study.themes).filter("text != ''")
-    scored = scored_segments(embed_segments(long, encoder, cache_path), study, encoder)
+    scored = scored_segments(
+        embed_segments(long, encoder, cache_path), study, encoder, cache_path
+    )
     keys = ["segment_id", "row_seq"]
     # Rows that repeat share their keys, and so their scores.
     scores = cut_lineage(

@@ -9,6 +9,7 @@ from openends.catalog import queries as q
 from openends.catalog import tables
 from openends.config import Calibration, Study
 from openends.errors import ContractError
+from openends.operators.encode import EncoderSettings
 from openends.plans import predict as predict_plan
 from openends.plans import train as train_plan
 from openends.sources import outputs, shared
@@ -172,3 +173,35 @@ def test_checkpoint_folder_is_taken_from_the_session(spark, monkeypatch):
     assert shared.checkpoint_folder(spark) == spark.sparkContext.getCheckpointDir()
     df = shared.cut_lineage(spark.range(5))
     assert df.count() == 5
+
+
+def test_answers_and_phrases_are_encoded_once_over_two_runs(raw, tmp_path):
+    calls = tmp_path / "calls"
+    calls.mkdir()
+
+    def encode(texts):
+        import hashlib
+        import uuid
+
+        import numpy as np
+
+        for text in texts:
+            (calls / f"{hashlib.md5(text.encode()).hexdigest()}-{uuid.uuid4().hex}").touch()
+        return np.array([[len(t), sum(map(ord, t)) % 97 + 1.0] for t in texts])
+
+    study = dataclasses.replace(SMALL, run_discovery=False, output_dim=2)
+    encoder = EncoderSettings("counted", 2, encode)
+    for _ in range(2):
+        result = predict_plan.predict(raw, study, encoder, str(tmp_path / "vectors"))
+        assert result.ad_features.count() > 0
+    seen = [p.name.split("-")[0] for p in calls.iterdir()]
+    phrases = {p for s in study.anchor_sets() for p in s.phrases}
+    assert len(seen) == len(set(seen)) > len(phrases)
+
+
+def test_an_encoder_that_loses_rows_is_refused(spark):
+    from openends.errors import EncoderConfigError
+    from openends.operators.encode import retrying
+
+    with pytest.raises(EncoderConfigError, match="for 2 texts"):
+        retrying(EncoderSettings("short", 2, lambda texts: [[1.0, 2.0]]))(["a", "b"])
