@@ -100,20 +100,37 @@ def link_quotes(lines: DataFrame) -> DataFrame:
 
 
 def _threads(replies: DataFrame) -> DataFrame:
-    """Add thread (the first message's turn) and depth, by doubling the way to the first message."""
+    """(conv_id, turn, thread, depth): the first message's turn and the way to it.
+
+    Every message points up; in a round those that have not arrived take over where the
+    message they point at points to, which doubles their way. Messages that have
+    arrived wait, so a round costs no more than the messages still under way.
+    """
     ways = replies.select(
         *MESSAGE,
         F.coalesce("reply_to", "turn").alias("up"),
         F.col("reply_to").isNotNull().cast("bigint").alias("depth"),
+        F.col("reply_to").isNotNull().alias("open"),
     )
     while True:
         ways = stored(ways, "ways")
-        above = ways.select("conv_id", F.col("turn").alias("up"), F.col("up").alias("top"), F.col("depth").alias("more"))
-        if ways.join(above.filter("more > 0"), ["conv_id", "up"], "left_semi").isEmpty():
-            return ways.withColumnRenamed("up", "thread")
-        ways = ways.join(above, ["conv_id", "up"]).select(
-            *MESSAGE, F.col("top").alias("up"), (F.col("depth") + F.col("more")).alias("depth")
+        under_way = ways.filter("open")
+        if under_way.isEmpty():
+            return ways.select(*MESSAGE, F.col("up").alias("thread"), "depth")
+        above = ways.select(
+            "conv_id",
+            F.col("turn").alias("up"),
+            F.col("up").alias("top"),
+            F.col("depth").alias("more"),
+            F.col("open").alias("more_open"),
+        )
+        moved = under_way.drop("open").join(above, ["conv_id", "up"]).select(
+            *MESSAGE,
+            F.col("top").alias("up"),
+            (F.col("depth") + F.col("more")).alias("depth"),
+            F.col("more_open").alias("open"),
         )
+        ways = ways.filter("NOT open").unionByName(moved)
 
 
 def reply_order(
