@@ -181,7 +181,8 @@ def main_text(source: str | None) -> str:
     White space inside a block becomes one space and character references are decoded.
     Left out are elements that never belong to an article (menus, footers, asides, forms,
     scripts, styles), those named or placed as notices, adverts, side columns or reader
-    comments, and, where the page does not name its article, parts less dense than the way to it.
+    comments, and, where the page does not name its article, parts less dense than the way to it
+    that do not look like a part of that way.
     """
     if not source:
         return ""
@@ -282,11 +283,17 @@ def main_text(source: str | None) -> str:
     if not named[best]:
         upto = way[: way.index(body) + 1] if body in way else way
         least = min((density[i] for i in upto), default=0.0)
-        beside = set(way)
+        beside = {parent[node]: node for node in way}
+        beside[best] = 0
         for node in range(1, n):
-            if not gone[node] and node not in beside and parent[node] in beside and node != best:
+            if not gone[node] and node not in beside and parent[node] in beside:
+                twin = beside[parent[node]]
+                alike = bool(page.rest[twin]) and (tag[node], page.rest[node]) == (
+                    tag[twin],
+                    page.rest[twin],
+                )
                 heading = tag[node] in ("h1", "h2") and tag[parent[node]] != "#page"
-                dense = density[node] >= least and 2 * lc[node] < c[node]
+                dense = (alike or density[node] >= least) and 2 * lc[node] < c[node]
                 chosen[node] = parent[node] != best and (heading or dense)
     for node in range(1, n):
         chosen[node] = (chosen[node] or chosen[parent[node]]) and not gone[node]

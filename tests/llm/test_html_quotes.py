@@ -43,6 +43,11 @@ PAGES = {
         "<div><a href=1>one more story</a> <a href=2>and another story</a></div></body>",
         f"{LONG.strip()}\n\n{LONG.strip()}\n\n{LONG.strip()}",
     ),
+    "parts alike": (
+        f"<body><div id=page><h1>T</h1><div class=s><h2>A</h2><p>{LONG}</p></div><div class=s>"
+        f"<p>Short.</p></div><div class=s><p>{LONG}</p><p>{LONG}</p></div></div><div>end</div></body>",
+        "\n\n".join(["T", "A", LONG.strip(), "Short.", LONG.strip(), LONG.strip()]),
+    ),
     "empty": ("", ""),
 }
 
