@@ -499,13 +499,18 @@ def topics_kmeans(spark, sf_dir):
 
 
 def judged(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = encode.embed_segments(t.document_segments(spark, sf_dir), ENCODER)
+    replies = t.judge_replies(spark, sf_dir)
+    # Only segments with a reply are encoded.
+    asked = t.document_segments(spark, sf_dir).join(
+        replies.select("segment_id").distinct(), "segment_id", "left_semi"
+    )
+    docs = encode.embed_segments(asked, ENCODER)
     themed = docs.withColumn("theme", F.lit("Emotion"))
     names = list(STUDY.judge_constructs)
     scores = anchors.score_wide(themed, centroid_table(spark), names)
     # Rounded so that ties, which ranks depend on, are the same everywhere.
     scores = scores.withColumns({f"anchor_{n}": F.round(f"anchor_{n}", 3) for n in names})
-    return judge.judged_segments(docs, scores, t.judge_replies(spark, sf_dir), names)
+    return judge.judged_segments(docs, scores, replies, names)
 
 
 @query
