@@ -266,12 +266,18 @@ def training_sample(docs: DataFrame, labels: DataFrame) -> tuple[list[list[str]]
     """The bounded sample of labelled, not held out documents: words and labels."""
     marked = unique(labels.select(F.col("doc_id").cast("bigint").alias("doc_id"), "toxic"))
     marked = marked.filter(F.col("toxic").isin(0, 1) & ~held_out(F.col("doc_id")))
-    rows = docs.filter(F.length("text") <= MAX_TRAIN_CHARS).join(marked, "doc_id")
-    found: list = []
+    # Ids and lengths decide; only the chosen texts are read, by at most 2 * MAX_TRAIN ids.
+    known_ids = docs.filter(F.length("text") <= MAX_TRAIN_CHARS).select("doc_id")
+    candidates = marked.join(known_ids, "doc_id").withColumn("order", F.xxhash64("doc_id"))
+    chosen: list = []
     for label in (0, 1):
-        some = rows.filter(F.col("toxic") == label)
-        some = some.orderBy(F.xxhash64("doc_id"), "doc_id").limit(MAX_TRAIN)
-        found += some.select("text", "toxic").collect()
+        some = candidates.filter(F.col("toxic") == label).orderBy("order", "doc_id")
+        chosen += some.limit(MAX_TRAIN).select("doc_id", "toxic").collect()
+    ids = docs.sparkSession.createDataFrame(
+        [(r.doc_id, int(r.toxic)) for r in chosen], "doc_id bigint, toxic int"
+    )
+    found = docs.join(F.broadcast(ids), "doc_id").select("doc_id", "text", "toxic").collect()
+    found.sort(key=lambda r: r["doc_id"])
     known: dict[str, str] = {}
     words = [[known.setdefault(w, w) for w in r["text"].lower().split()] for r in found]
     return words, [int(r["toxic"]) for r in found]
