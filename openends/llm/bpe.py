@@ -32,6 +32,8 @@ _SPACE = re.compile("[^\\S\x1c-\x1f]+")
 # Where a space has white space on both sides or a space beside it, runs of white space
 # are tokens of their own and the text is not cut at spaces.
 _RUN = re.compile(r"  |\s \s")
+# Latin letters without "İ", whose lower case is two characters.
+_SIMPLE = re.compile("( ?)([A-Za-zÀ-ÖØ-öø-\u012f\u0131-\u024f]+)([.,]?)")
 
 
 def _byte_alphabet() -> dict[int, str]:
@@ -103,6 +105,7 @@ class Encoder(dict):
         self.suffix = spec["model"]["end_of_word_suffix"] or ""
         self.run_middle = Tokenizer.from_str(json.dumps(middle)) if self.suffix else self.run_end
         self.alphabet = _byte_alphabet()
+        self.marks = {m: self.run_end.encode(m, add_special_tokens=False).ids for m in ".,"}
         self.make = make
         self.cached = cached
         self.older: dict = {}
@@ -139,17 +142,17 @@ class Encoder(dict):
     def part_ids(self, part: str) -> list[int]:
         if len(part) > LONG:
             return self.long_ids(part)
-        word = part[1:] if part[:1] == " " and not self.by_word else part
-        if word.isascii():
-            mark = word[-1:] if word[-1:] in (".", ",") else ""
-            core = word[: len(word) - len(mark)]
-            if core.isalpha():
-                lead = "Ġ" if len(word) < len(part) else ""
-                run = lead + (core.lower() if self.lower else core)
-                found = self.run_end.encode(run, add_special_tokens=False).ids
-                if mark:
-                    found = found + self.run_end.encode(mark, add_special_tokens=False).ids
-                return found
+        simple = _SIMPLE.fullmatch(part)
+        if simple and not (simple[1] and self.by_word):
+            # One run of letters that normalising leaves as they are, and perhaps a mark.
+            run = simple[2].lower() if self.lower else simple[2]
+            if not run.isascii():
+                run = "".join(map(self.alphabet.__getitem__, run.encode()))
+            run = self.alphabet[32] + run if simple[1] else run
+            found = self.run_end.encode(run, add_special_tokens=False).ids
+            if simple[3]:
+                found = found + self.marks[simple[3]]
+            return found
         return self.library.encode(part, add_special_tokens=False).ids
 
     def long_ids(self, part: str) -> list[int]:

@@ -27,7 +27,7 @@ END = 0
 PARTS = 256
 ROWS_PER_PART = 1_000_000
 # Distinct words kept by a worker; packing keeps their packed ids only.
-CACHED = 400_000
+CACHED = 600_000
 
 
 class Pattern(NamedTuple):
