@@ -46,6 +46,18 @@ def texts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Da
     return unique(named)
 
 
+def hashed_sample(rows: DataFrame, key: str, size: int) -> DataFrame:
+    """About `size` rows, all if there are no more: those whose key's hash is small.
+
+    Which rows are chosen depends on their keys only; nothing is sorted or gathered.
+    """
+    n = rows.count()
+    if n <= size:
+        return rows
+    limit = (1 << 40) * size // n
+    return rows.filter(F.pmod(F.xxhash64(key, F.lit("sample")), F.lit(1 << 40)) < limit)
+
+
 def parts(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 

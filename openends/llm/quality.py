@@ -15,10 +15,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from openends.llm import linear
-from openends.llm.common import unique
+from openends.llm.common import hashed_sample, unique
 from openends.sources.shared import stored
 
-# The classifier is fitted on at most this many labelled documents of each label, by hash.
+# The classifier is fitted on about this many labelled documents of each label, by hash.
 MAX_TRAIN = 20_000
 SYMBOLS = "*$%&#|!@{}<>=~^_\\"
 FEATURES = (
@@ -85,8 +85,8 @@ def fit_evidence(shaped: DataFrame, labels: DataFrame) -> np.ndarray | None:
     rows = shaped.select("doc_id", "shape").join(marked.filter("quality in (0, 1)"), "doc_id")
     found: list = []
     for label in (0, 1):
-        some = rows.filter(F.col("quality") == label)
-        found += some.orderBy(F.xxhash64("doc_id"), "doc_id").limit(MAX_TRAIN).collect()
+        found += hashed_sample(rows.filter(F.col("quality") == label), "doc_id", MAX_TRAIN).collect()
+    found.sort(key=lambda r: r["doc_id"])
     y = np.array([r["quality"] for r in found], dtype=float)
     if not 0 < y.sum() < len(y):
         return None

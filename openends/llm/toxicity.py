@@ -18,9 +18,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from openends.llm import linear
-from openends.llm.common import texts, unique
+from openends.llm.common import hashed_sample, texts, unique
 
-# The field is fitted on at most this many labelled documents of each label, of at most
+# The field is fitted on about this many labelled documents of each label, of at most
 # this many characters, chosen by hash. Every document is scored, and its whole text.
 MAX_TRAIN = 2_000
 MAX_TRAIN_CHARS = 10_000
@@ -266,13 +266,13 @@ def training_sample(docs: DataFrame, labels: DataFrame) -> tuple[list[list[str]]
     """The bounded sample of labelled, not held out documents: words and labels."""
     marked = unique(labels.select(F.col("doc_id").cast("bigint").alias("doc_id"), "toxic"))
     marked = marked.filter(F.col("toxic").isin(0, 1) & ~held_out(F.col("doc_id")))
-    # Ids and lengths decide; only the chosen texts are read, by at most 2 * MAX_TRAIN ids.
+    # Ids and lengths decide; only the chosen texts are read, by some 2 * MAX_TRAIN ids.
     known_ids = docs.filter(F.length("text") <= MAX_TRAIN_CHARS).select("doc_id")
-    candidates = marked.join(known_ids, "doc_id").withColumn("order", F.xxhash64("doc_id"))
+    candidates = marked.join(known_ids, "doc_id")
     chosen: list = []
     for label in (0, 1):
-        some = candidates.filter(F.col("toxic") == label).orderBy("order", "doc_id")
-        chosen += some.limit(MAX_TRAIN).select("doc_id", "toxic").collect()
+        some = hashed_sample(candidates.filter(F.col("toxic") == label), "doc_id", MAX_TRAIN)
+        chosen += some.select("doc_id", "toxic").collect()
     ids = docs.sparkSession.createDataFrame(
         [(r.doc_id, int(r.toxic)) for r in chosen], "doc_id bigint, toxic int"
     )

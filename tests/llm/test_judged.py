@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 import corpus_pipeline
 from openends.llm import linear, packing, quality, toxicity
-from openends.llm.common import tokenizer_path, unique
+from openends.llm.common import hashed_sample, tokenizer_path, unique
 from openends.llm.queries import QUERIES
 
 INSULTS = ["grumbleface", "snotbag", "dimwhit"]
@@ -216,3 +216,12 @@ def test_every_operator_has_its_query(spark, sf_dir):
     got = QUERIES["op6_packing"](spark, sf_dir)
     key = ["doc_id", "piece", "start", "length", "ids_crc32"]
     assert sorted(map(tuple, got.select(key).collect())) == sorted(map(tuple, whole.select(key).collect()))
+
+
+def test_samples_are_bounded_and_depend_on_keys_only(spark):
+    rows = spark.range(50_000).withColumnRenamed("id", "doc_id")
+    chosen = [
+        {r.doc_id for r in hashed_sample(rows.repartition(n), "doc_id", 1_000).collect()} for n in (2, 5)
+    ]
+    assert chosen[0] == chosen[1] and 850 < len(chosen[0]) < 1_150
+    assert hashed_sample(rows, "doc_id", 50_000).count() == 50_000
