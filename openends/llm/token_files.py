@@ -15,6 +15,8 @@ from openends.llm.common import texts
 from openends.sources.shared import new_folder
 
 END = 0
+# Distinct words kept by a worker; files need their packed ids only.
+CACHED = 500_000
 # Ids of a file: enough blocks to code side by side, and some tens of MB in a worker.
 FILE_IDS = 3_000_000
 # Files whose places (16 bytes each) may be sent to every task; beyond that they are joined by a shuffle.
@@ -36,7 +38,7 @@ def write_token_files(
     """
 
     def write(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        ids_of = encoder(path, packed_ids)
+        ids_of = encoder(path, packed_ids, CACHED)
         end = END.to_bytes(4, "little")
         doc_ids: list[int] = []
         parts: list[bytes] = []
