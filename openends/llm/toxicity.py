@@ -24,7 +24,7 @@ from openends.llm.common import hashed_sample, texts, unique
 # this many characters, chosen by hash. Every document is scored, and its whole text.
 MAX_TRAIN = 2_000
 MAX_TRAIN_CHARS = 10_000
-# Words of a chain; a text is tagged in consecutive chains.
+# Words of a chain; a text is tagged in consecutive chains that pass their messages on.
 CHAIN = 128
 # Beginnings of a word that are features beside the word itself.
 BEGINNINGS = (4, 5, 6, 7)
@@ -62,23 +62,64 @@ def _normalised(a: np.ndarray) -> np.ndarray:
     return a / a.sum(axis=-1, keepdims=True)
 
 
+def messages(
+    emission: np.ndarray, lengths: np.ndarray, transition: np.ndarray, per_doc: np.ndarray
+) -> tuple[np.ndarray, np.ndarray]:
+    """What the chains before and after tell the first and the last word of each chain [chains, 2].
+
+    `per_doc` is the number of consecutive chains of every document. A chain is the product of
+    its steps, so a message crosses it in one multiplication.
+    """
+    n, width = emission.shape
+    move = np.exp(transition)
+    before, after = np.ones((n, 2)), np.ones((n, 2))
+    last = np.cumsum(per_doc)
+    first = last - per_doc
+    several = np.repeat(per_doc > 1, per_doc)
+    if not several.any():
+        return before, after
+    potential = np.ones((width, int(several.sum()), 2))
+    potential[:, :, 1] = np.exp(np.clip(emission[several].T, -30, 30))
+    through = np.eye(2) * potential[0][:, None, :]
+    for t in range(1, width):
+        step = (through @ move) * potential[t][:, None, :]
+        step /= step.sum(axis=(1, 2), keepdims=True)
+        through = np.where((t < lengths[several])[:, None, None], step, through)
+    whole = np.empty((n, 2, 2))
+    whole[several] = through
+    for k in range(1, int(per_doc.max())):
+        at = first[per_doc > k] + k
+        passed = (before[at - 1][:, None, :] @ whole[at - 1])[:, 0]
+        before[at] = _normalised(passed @ move)
+        at = last[per_doc > k] - 1 - k
+        passed = (whole[at + 1] @ after[at + 1][:, :, None])[:, :, 0]
+        after[at] = _normalised(passed @ move.T)
+    return before, after
+
+
 def marginals(
-    emission: np.ndarray, lengths: np.ndarray, transition: np.ndarray
+    emission: np.ndarray,
+    lengths: np.ndarray,
+    transition: np.ndarray,
+    before: np.ndarray | None = None,
+    after: np.ndarray | None = None,
 ) -> tuple[np.ndarray, np.ndarray]:
     """P(toxic) of every word [chains, words], and expected transitions [2, 2] summed.
 
     `emission` is the score of the toxic state per word (the other state scores 0),
-    `transition` the scores [from, to]. Forward and backward messages are scaled at each step.
+    `transition` the scores [from, to]. Forward and backward messages are scaled at each step;
+    `before` and `after` are those of the neighbouring chains, if there are any.
     """
     n, width = emission.shape
     potential = np.ones((width, n, 2))
     potential[:, :, 1] = np.exp(np.clip(emission.T, -30, 30))
     move = np.exp(transition)
     forward = np.empty((width, n, 2))
-    forward[0] = _normalised(potential[0])
+    forward[0] = _normalised(potential[0] if before is None else before * potential[0])
     for t in range(1, width):
         forward[t] = _normalised((forward[t - 1] @ move) * potential[t])
-    backward = np.ones((n, 2))
+    end = np.ones((n, 2)) if after is None else after
+    backward = end
     toxic = np.zeros((width, n))
     moves = np.zeros((2, 2))
     for t in range(width - 1, -1, -1):
@@ -89,7 +130,7 @@ def marginals(
             joint = forward[t][:, :, None] * move[None] * message[:, None, :]
             joint /= joint.sum(axis=(1, 2), keepdims=True)
             moves += (joint * follows[:, :, None]).sum(axis=0)
-            backward = np.where(follows, _normalised(message @ move.T), 1.0)
+            backward = np.where(follows, _normalised(message @ move.T), end)
         toxic[t] = np.where(inside[:, 0], _normalised(forward[t] * backward)[:, 1], 0.0)
     return toxic.T, moves
 
@@ -211,16 +252,24 @@ def document_evidence(
     ).astype(np.int64)
     probabilities = np.zeros(len(scores))
     ends = np.cumsum(lengths)
-    # Chains are tagged in slices, to keep the messages of a slice small.
-    for at in range(0, len(lengths), 4096):
-        some = lengths[at : at + 4096]
-        start = ends[at : at + 4096] - some
+    # Chains are tagged in slices of whole documents, to keep the messages of a slice small.
+    chains = np.concatenate([[0], np.cumsum(per_doc)])
+    doc = 0
+    while doc < len(docs):
+        upto = max(doc + 1, int(np.searchsorted(chains, chains[doc] + 4096, side="right")) - 1)
+        at, to, held = chains[doc], chains[upto], per_doc[doc:upto]
+        doc = upto
+        if at == to:
+            continue
+        some = lengths[at:to]
+        start = ends[at:to] - some
         width = int(some.max())
         inside = np.arange(width)[None, :] < some[:, None]
         where = (start[:, None] + np.arange(width)[None, :])[inside]
         emission = np.zeros((len(some), width))
         emission[inside] = scores[where]
-        probabilities[where] = marginals(emission, some, field.transition)[0][inside]
+        sides = messages(emission, some, field.transition, held[held > 0])
+        probabilities[where] = marginals(emission, some, field.transition, *sides)[0][inside]
     out = np.zeros((len(docs), 6))
     words: list[np.ndarray] = []
     at = 0
@@ -314,7 +363,7 @@ def toxicity(
                         "doc_id": part["doc_id"].to_numpy(),
                         "score": linear.sigmoid(linear.scores(evidence, field.calibration)),
                         "spans": [
-                            _spans(t.lower(), p) if len(p) and p.max() > 0.5 else []
+                            _spans(t, p) if len(p) and p.max() > 0.5 else []
                             for t, p in zip(part["text"], words, strict=True)
                         ],
                     }

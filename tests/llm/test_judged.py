@@ -225,3 +225,29 @@ def test_samples_are_bounded_and_depend_on_keys_only(spark):
     ]
     assert chosen[0] == chosen[1] and 850 < len(chosen[0]) < 1_150
     assert hashed_sample(rows, "doc_id", 50_000).count() == 50_000
+
+
+def test_chains_of_a_text_are_one_chain():
+    rng = np.random.default_rng(4)
+    names = [f"w{i}" for i in range(50)]
+    weights = {f"=w{i}": float(x) for i, x in enumerate(rng.normal(size=50))}
+    field = toxicity.Field(weights, -0.3, np.array([[1.5, -1.5], [-1.5, 1.5]]))
+    docs = [[str(w) for w in rng.choice(names, n)] for n in (127, 0, 128, 129, 700, 1, 256, 3_000)]
+    emissions = toxicity.Emissions(field)
+    got = toxicity.document_evidence(emissions, field, docs)[1]
+    for words, p in zip(docs, got, strict=True):
+        if words:
+            scores = np.array([[emissions[w] for w in words]])
+            whole = toxicity.marginals(scores, np.array([len(words)]), field.transition)[0][0]
+            assert np.allclose(p, whole)
+
+
+def test_spans_are_offsets_of_the_text_itself(spark, monkeypatch):
+    field = toxicity.Field({"=bad": 20.0}, -10.0, np.zeros((2, 2)))
+    field.calibration = toxicity.linear.fit(np.random.default_rng(0).normal(size=(9, 6)), np.arange(9) % 2.0, ridge=0.1)
+    monkeypatch.setattr(toxicity, "fit_field", lambda *_: field)
+    text = "\u0130\u0130 \u0130x BAD words"
+    df = spark.createDataFrame([(1, text)], "doc_id long, text string")
+    labels = spark.createDataFrame([(1, 1)], "doc_id long, toxic int")
+    [row] = toxicity.toxicity(df, labels).collect()
+    assert [text[s.start : s.end] for s in row.spans] == ["BAD"]
