@@ -145,6 +145,8 @@ class Page:
             self.parent.append(stack[-1])
             self.rest.append(rest)
             self.items.append((node, ""))
+            if name in ("svg", "math") and rest.endswith("/"):
+                continue  # an empty element
             if name in RAW:
                 ended = _RAW_END[name].search(source, at)
                 at = ended.end() if ended else len(source)

@@ -129,3 +129,10 @@ def test_a_long_chain_of_replies(spark):
     assert [(r[1], r[6], r[7], r[8]) for r in got] == [
         (t, t - 1 if t else None, 0, t) for t in range(70)
     ]
+
+
+def test_self_closed_drawings_are_empty():
+    for icon in ('<svg class="icon"/>', "<svg />", "<math/>"):
+        page = f"<body><article><p>First part.</p><p>{icon} Second part.</p><svg><text>no</text></svg><p>Third part.</p></article></body>"
+        assert html_text.main_text(page) == "First part.\n\nSecond part.\n\nThird part."
+        assert "Third part." in html_text.main_text(f"<article><p>First part.</p>{icon}<p>Third part.</p></article>")
