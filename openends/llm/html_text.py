@@ -64,6 +64,12 @@ COMMENT_HEADING = re.compile(
     r"leave a (reply|comment)|responses|discussion)\b.{0,20}$",
     re.I | re.S,
 )
+# Elements that are a list's entries if several siblings are named alike.
+ENTRIES = {"article", "dd", "div", "li", "section", "tr"}
+# A heading that counts comments; a chapter's number stands before other words.
+COMMENT_COUNT = re.compile(
+    r"\W*\d+\s+(reader |user )?(comments?|kommentare?|commentaires?|comentarios?|responses)\W*$", re.I
+)
 _TAG = re.compile(
     r"<!--.*?(?:-->|\Z)"
     r"|<(?P<end>/?)(?P<name>[a-zA-Z][^\s/>]*+)(?P<rest>(?:[^>\"']++|\"[^\"]*\"|'[^']*')*+)>"
@@ -182,8 +188,9 @@ def main_text(source: str | None) -> str:
 
     White space inside a block becomes one space and character references are decoded.
     Left out are elements that never belong to an article (menus, footers, asides, forms,
-    scripts, styles), those named or placed as notices, adverts, side columns or reader
-    comments, and, where the page does not name its article, parts less dense than the way to it
+    scripts, styles), those named as notices, adverts, side columns or reader comments
+    if they are small, mostly links, a list of like entries or a form and the name
+    does not hold most of the page's text, and, where the page does not name its article, parts less dense than the way to it
     that do not look like a part of that way.
     """
     if not source:
@@ -205,7 +212,8 @@ def main_text(source: str | None) -> str:
     all_chars, all_links = chars[:], links[:]
     holds = [False] * n  # an article, a main part or a page's heading inside
     named = [tag[i] in ("article", "main") for i in range(n)]
-    comment = [False] * n
+    comment, counts = [False] * n, [False] * n
+    head = [0] * n  # characters of a heading of comments
     for node in range(n - 1, 0, -1):
         up = parent[node]
         all_chars[up] += all_chars[node]
@@ -215,7 +223,32 @@ def main_text(source: str | None) -> str:
         holds[up] |= holds[node]
         if re.fullmatch("h[2-6]", tag[node]) and tag[up] not in ("article", "main", "body"):
             heading = " ".join(texts_of.get(node, ()))
-            comment[up] |= bool(COMMENT_HEADING.match(heading)) and tag[up] != "#page"
+            if COMMENT_HEADING.match(heading) and tag[up] != "#page":
+                comment[up] = True
+                counts[up] |= bool(COMMENT_COUNT.match(heading))
+                head[up] += all_chars[node]
+
+    # What a name says of a node is held against the text: a word that marks most of the page
+    # marks nothing, and lists of like entries and forms are told apart from plain parts.
+    marks = [page.marks(node) for node in range(n)]
+    under: list[frozenset[str]] = [frozenset()] * n
+    entries: set[tuple] = set()
+    evident = [False] * n
+    held: dict[str, int] = {}
+    for node in range(1, n):
+        up = parent[node]
+        new = marks[node][0] & MARKS if tag[node] not in ("html", "body") else frozenset()
+        under[node] = under[up] | new if new else under[up]
+        if chars[node] and under[node]:
+            for word in under[node]:
+                held[word] = held.get(word, 0) + chars[node]
+        entry = (up, tag[node], frozenset(marks[node][0]))
+        evident[up] |= tag[node] in ENTRIES and bool(entry[2]) and entry in entries
+        entries.add(entry)
+    for node in range(n - 1, 0, -1):
+        evident[parent[node]] |= evident[node] or tag[node] == "form"
+    most = all_chars[0] / 2
+    signs = MARKS - {word for word, size in held.items() if size > most}
 
     # What cannot be the article goes first, with all inside it.
     gone = [False] * n
@@ -232,8 +265,13 @@ def main_text(source: str | None) -> str:
         if name in RAW or name in VOID:
             gone[node] = name != "br"
             continue
-        words, hidden = page.marks(node)
-        marked = bool(words & MARKS) or comment[node]
+        words, hidden = marks[node]
+        strong = evident[node] or counts[node] or 2 * all_links[node] > all_chars[node]
+        strong = strong or (comment[node] and bool(words & COMMENT_MARKS))
+        marked = bool(words & signs) and (strong or 4 * all_chars[node] <= all_chars[0])
+        marked = (marked or (comment[node] and strong)) and (
+            2 * (all_chars[node] - head[node]) <= all_chars[0] - head[node]
+        )
         if name in ("article", "main") and not words & COMMENT_MARKS:
             marked = False
         large = holds[node] or (name == "form" and 2 * all_chars[node] > all_chars[0])

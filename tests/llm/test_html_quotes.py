@@ -136,3 +136,17 @@ def test_self_closed_drawings_are_empty():
         page = f"<body><article><p>First part.</p><p>{icon} Second part.</p><svg><text>no</text></svg><p>Third part.</p></article></body>"
         assert html_text.main_text(page) == "First part.\n\nSecond part.\n\nThird part."
         assert "Third part." in html_text.main_text(f"<article><p>First part.</p>{icon}<p>Third part.</p></article>")
+
+
+def test_one_marked_word_or_heading_does_not_take_the_text():
+    long = " ".join(f"word{i}" for i in range(120))
+    builder = (
+        "<body><div class='elementor-widget elementor-widget-title'><h1>Title</h1></div>"
+        f"<div class='elementor-widget elementor-widget-theme-post-content'><p>{long}</p><p>{long} end</p></div></body>"
+    )
+    assert "end" in html_text.main_text(builder)
+    paper = f"<body><div><h1>Paper</h1><p>{long}</p><div><h2>4 Discussion</h2><p>{long} found</p></div></div></body>"
+    assert "found" in html_text.main_text(paper)
+    replies = "".join(f"<li class='c' id='c{i}'><p>I think so, number {i}.</p></li>" for i in range(4))
+    comments = f"<body><div><h1>Paper</h1><p>{long}</p><div class='x'><h3>4 Comments</h3><ul>{replies}</ul></div></div></body>"
+    assert "I think" not in html_text.main_text(comments)
