@@ -10,8 +10,11 @@ from pyspark.sql import functions as F
 from openends.llm import (
     bpe,
     exact_dedup,
+    hard_negatives,
     html_text,
+    jaccard_join,
     packing,
+    phrases,
     quality,
     quotes,
     simhash,
@@ -66,6 +69,20 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.quality(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
 
 
+def op11_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_join.jaccard_groups(read(spark, sf_dir, "documents"), percent=80, size=5)
+
+
+def op12_phrases(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return phrases.collocations(read(spark, sf_dir, "documents"), least=10, covered=50, top=2000)
+
+
+def op13_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    rows = read(spark, sf_dir, "embeddings").withColumn("label", label)
+    return hard_negatives.hard_negatives(rows, anchors=F.col("vec_id") % 100 == 0)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_html_text": op1_html_text,
     "op2_simhash": op2_simhash,
@@ -77,4 +94,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_token_files": op8_token_files,
     "op9_bpe": op9_bpe,
     "op10_quality": op10_quality,
+    "op11_jaccard_join": op11_jaccard_join,
+    "op12_phrases": op12_phrases,
+    "op13_hard_negatives": op13_hard_negatives,
 }
