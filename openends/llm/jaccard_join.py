@@ -32,7 +32,7 @@ from openends.operators.lookup import attach_lookup
 from openends.sources.shared import stored
 
 # Words that a task holds before it sends their shingles on.
-FLUSH = 1 << 21
+FLUSH = 1 << 20
 # A token's number of sets is told apart up to this; a token that reaches it within one flush is
 # known to and is not sent to be counted, but for a note, so no token fills a task.
 FREQUENT = 8
@@ -198,7 +198,7 @@ def _unpack(frame: pd.DataFrame) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     both = np.stack([runs["s1"], runs["s2"]], axis=1)
     order = np.lexsort((both[:, 1], both[:, 0]))
     new = np.r_[True, (both[order][1:] != both[order][:-1]).any(axis=1)] if len(runs) else np.zeros(0, bool)
-    number = np.empty(len(runs), np.int64)
+    number = np.empty(len(runs), np.int32)
     number[order] = np.cumsum(new) - 1
     return both[order][new], np.repeat(number, runs["count"]), tokens
 
@@ -223,7 +223,7 @@ def shared_tokens(posted: DataFrame, n_shards: int) -> DataFrame:
         kept = n > 1
         known, known_own, known_tokens = _unpack(frame[frame["kind"] == KNOWN])
         names = np.concatenate([names, known])
-        own = np.concatenate([own[kept], known_own + len(names) - len(known)])
+        own = np.concatenate([own[kept], known_own + np.int32(len(names) - len(known))])
         tokens = np.concatenate([tokens[kept], known_tokens])
         kind = np.concatenate([n[kept], np.full(len(known_own), FREQUENT)]).astype(np.uint8)
         shard = (names[own, 0] % np.uint64(n_shards)).astype(np.int32)
