@@ -59,6 +59,8 @@ MARKS = set(
     "skip hidden paywall outbrain taboola tagcloud".split()
 )
 COMMENT_MARKS = {"comment", "comments", "commentlist", "discussion", "disqus", "reply", "replies"}
+# Marks of a column beside the article.
+SIDE_MARKS = {"sidebar", "related", "recommended", "recommendations"}
 COMMENT_HEADING = re.compile(
     r"\W*(\d+\s+)?(reader |user )?(comments?|kommentare?|commentaires?|comentarios?|"
     r"leave a (reply|comment)|responses|discussion)\b.{0,20}$",
@@ -250,6 +252,33 @@ def main_text(source: str | None) -> str:
     most = all_chars[0] / 2
     signs = MARKS - {word for word, size in held.items() if size > most}
 
+    # Comments and side columns go whatever their size, if the page has an article beside them: plain
+    # paragraphs under no mark at all. Where there are none, such a mark may stand for the whole page.
+    apart, lead, own_article = [False] * n, n, False
+    twins: dict[tuple[int, str], int] = {}
+    for node in range(1, n):
+        up, name = parent[node], tag[node]
+        apart[node] = apart[up] or comment[node] or name in NOT_TEXT or bool(
+            marks[node][0] & MARKS and name not in ("html", "body")
+        )
+        if all_chars[node]:
+            twins[up, name] = twins.get((up, name), 0) + 1
+            if not apart[node]:
+                own_article |= name in ("article", "main")
+                if name == "p":
+                    lead = min(lead, node)
+
+    def beside(node: int) -> bool:
+        """Whether a node is a part for comments or a side column of a page with an article elsewhere."""
+        words = marks[node][0]
+        if lead == n or holds[node] and not own_article:
+            return False
+        if words & COMMENT_MARKS or comment[node]:
+            repeats = any(twins.get((node, name), 0) > 1 for name in ENTRIES | {"p"})
+            sure = bool(words & COMMENT_MARKS) and (comment[node] or lead < node or repeats)
+            return sure or (comment[node] and (bool(counts[node]) or evident[node]))
+        return bool(words & SIDE_MARKS)
+
     # What cannot be the article goes first, with all inside it.
     gone = [False] * n
     inside_named = [False] * n
@@ -275,7 +304,7 @@ def main_text(source: str | None) -> str:
         if name in ("article", "main") and not words & COMMENT_MARKS:
             marked = False
         large = holds[node] or (name == "form" and 2 * all_chars[node] > all_chars[0])
-        gone[node] = hidden or (
+        gone[node] = hidden or beside(node) or (
             (marked or name in NOT_TEXT or (name == "header" and not inside_named[up]))
             and not (large and name not in ("nav", "footer", "aside", "head"))
         )
@@ -323,11 +352,11 @@ def main_text(source: str | None) -> str:
     if not named[best]:
         upto = way[: way.index(body) + 1] if body in way else way
         least = min((density[i] for i in upto), default=0.0)
-        beside = {parent[node]: node for node in way}
-        beside[best] = 0
+        near_way = {parent[node]: node for node in way}
+        near_way[best] = 0
         for node in range(1, n):
-            if not gone[node] and node not in beside and parent[node] in beside:
-                twin = beside[parent[node]]
+            if not gone[node] and node not in near_way and parent[node] in near_way:
+                twin = near_way[parent[node]]
                 alike = bool(page.rest[twin]) and (tag[node], page.rest[node]) == (
                     tag[twin],
                     page.rest[twin],
