@@ -20,8 +20,8 @@ def ascii_lower(text: Column) -> Column:
 def unique(rows: DataFrame, *keys: str) -> DataFrame:
     """Rows by key (doc_id unless others are named), without rows that lack one, each key once.
 
-    Of rows with the same key the greatest stays, comparing the other columns in order
-    (null is lowest). The reduction shuffles whole rows, so it runs only where a key
+    Of rows with the same key the greatest stays, comparing `text`, if there is one, and then
+    the other columns in order (null is lowest; columns with maps by their JSON). The reduction shuffles whole rows, so it runs only where a key
     does repeat; that is found out from the key columns alone.
     """
     keys = keys or ("doc_id",)
@@ -33,7 +33,14 @@ def unique(rows: DataFrame, *keys: str) -> DataFrame:
     if not others:
         return rows.distinct()
     row = F.struct(*[F.col(f"`{c}`") for c in others])
-    reduced = rows.groupBy(*keys).agg(F.max(row).alias("_row"))
+    kinds = {field.name: field.dataType.simpleString() for field in rows.schema}
+    order = F.struct(
+        *[
+            F.to_json(F.struct(F.col(f"`{c}`").alias("v"))) if "map<" in kinds[c] else F.col(f"`{c}`")
+            for c in sorted(others, key=lambda c: c != "text")
+        ]
+    )
+    reduced = rows.groupBy(*keys).agg(F.max_by(row, order).alias("_row"))
     return reduced.select(*[F.col(c) if c in keys else F.col(f"_row.`{c}`") for c in rows.columns])
 
 

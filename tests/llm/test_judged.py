@@ -209,8 +209,30 @@ def test_unique_keeps_the_greatest_of_a_key(spark):
     assert [tuple(r) for r in unique(rows).collect()] == [(1, "b", "x")]
 
 
+def test_unique_takes_the_text_first_and_any_column(spark):
+    from pyspark.sql import functions as F
+
+    rows = spark.createDataFrame(
+        [(1, "aa", "zz top", 1), (1, "zz", "aa bottom", 2), (2, "b", "x", 3)], "doc_id int, lang string, text string, n int"
+    ).withColumn("a.b", F.create_map(F.lit("k"), "n"))
+    got = {r.doc_id: (r.text, r["a.b"]) for r in unique(rows).collect()}
+    assert got == {1: ("zz top", {"k": 1}), 2: ("x", {"k": 3})}
+
+
+def test_stages_take_names_with_dots_and_empty_tables(spark, odd_docs, no_docs, sf_dir):
+    from pyspark.sql import functions as F
+
+    docs = odd_docs.withColumn("a.b", F.lit(1))
+    out = corpus_pipeline.exact_copies(spark, docs, sf_dir)
+    assert out.columns == docs.columns and out.count()
+    docs = no_docs
+    for _, stage in corpus_pipeline.STAGES:
+        docs = stage(spark, docs, sf_dir)
+    assert docs.count() == 0
+
+
 def test_every_operator_has_its_query(spark, sf_dir):
-    assert sorted(int(q[2:].split("_")[0]) for q in QUERIES) == list(range(1, 11))
+    assert sorted(int(q[2:].split("_")[0]) for q in QUERIES) == list(range(1, 14))
     path = tokenizer_path("word_bpe_49k.json")
     whole = packing.pieces(spark.read.parquet(f"{sf_dir}/documents.parquet"), path, 2048)
     got = QUERIES["op6_packing"](spark, sf_dir)
