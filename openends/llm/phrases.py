@@ -24,11 +24,11 @@ from openends.llm.word_ids import Vocabulary, cells, chunks
 from openends.operators.lookup import attach_lookup
 from openends.sources.shared import stored
 
-# Words that a task counts at a time; fewer than 2^21, so that three numbers of words fit a long.
-FLUSH = 1 << 20
-BITS = 21
+# Words that a task counts at a time, and different ones among them: three numbers of words fit a long.
+FLUSH, DIFFERENT = 1 << 21, 1 << 20
+BITS, KEY_BITS = 21, 63
 # Bytes of text for one shard of counts.
-SHARD_BYTES = 16_000_000
+SHARD_BYTES = 32_000_000
 
 _BREAK = b"\xff"  # no byte of UTF-8; stands for the end of a piece
 _CLEAN = bytearray(range(256))
@@ -41,6 +41,14 @@ _STEPS = np.random.default_rng(12).integers(0, 1 << 63, 4, dtype=np.uint64) * np
 RUNS = "shard int, lang string, words binary, grams binary, counts binary"
 
 
+def _squeezed(data: bytes) -> bytes:
+    return len(data).to_bytes(8, "little") + pa.compress(data, "zstd", asbytes=True)
+
+
+def _loosened(data: bytes) -> bytes:
+    return pa.decompress(data[8:], int.from_bytes(data[:8], "little"), "zstd", asbytes=True)
+
+
 def _packed(values: np.ndarray) -> bytes:
     """Numbers as compressed planes of bytes; made for sorted ones, whose steps are small."""
     planes = np.ascontiguousarray(values.view(np.uint8).reshape(-1, values.itemsize).T)
@@ -115,7 +123,7 @@ class Counter:
                 grams_ = np.zeros(len(part), np.int64)
                 for i, column in enumerate(np.split(at.astype(np.int64), self.longest)):
                     grams_ |= column << (bits * (self.longest - 1 - i))
-                names = b" ".join(words[w - 1] for w in used if w)
+                names = _squeezed(b" ".join(words[w - 1] for w in used if w))
                 steps = np.diff(grams_, prepend=np.int64(0))
                 yield int(s), lang, names, bytes([bits]) + _packed(steps), _packed(counts[part])
 
@@ -146,7 +154,7 @@ def count_runs(docs: DataFrame, longest: int, n_shards: int) -> DataFrame:
                     words = tail + chunk.split()
                     counter.add(lang, counter.vocabulary.ids(words), len(tail))
                     tail = words[-(longest - 1) :] if longest > 1 else []
-                    if counter.held >= FLUSH:
+                    if counter.held >= FLUSH or len(counter.vocabulary) >= DIFFERENT:
                         yield batch_of(counter)
                         counter = Counter(longest)
         yield batch_of(counter)
@@ -164,26 +172,24 @@ def frequent(runs: DataFrame, longest: int, least: int) -> DataFrame:
     def merge(frame: pd.DataFrame) -> pd.DataFrame:
         out = []
         for lang, rows in frame.groupby("lang", sort=True):
-            lists = [w.split(b" ") for w in rows["words"]]
-            words = sorted(set().union(*lists))
-            number = {w: i + 1 for i, w in enumerate(words)}
-            bits = len(words).bit_length()
-            wide = bits * longest > 63
+            number = Vocabulary({b"": 0})
             columns, counts = [[] for _ in names], []
-            for own, grams, n in zip(lists, rows["grams"], rows["counts"], strict=True):
-                to = np.array([0] + [number[w] for w in own], np.int64)
+            for own, grams, n in zip(rows["words"], rows["grams"], rows["counts"], strict=True):
+                to = np.append(np.int32(0), number.ids(_loosened(own).split(b" ")))
                 keys = np.cumsum(_unpacked(grams[1:], np.int64))
                 for held, column in zip(columns, _split(keys, grams[0], longest), strict=True):
                     held.append(to[column])
                 counts.append(_unpacked(n, np.int64))
-            columns = [np.concatenate(c) for c in columns]
+            bits = (len(number) - 1).bit_length()
+            wide = bits * longest > KEY_BITS
             # Numbers that do not fit one key are replaced by those of the phrases so far.
-            key, prefixes = columns[0], []
-            for column in columns[1:]:
+            key, prefixes = np.concatenate(columns.pop(0)).astype(np.int64), []
+            while columns:
                 if wide:
                     known, key = np.unique(key, return_inverse=True)
                     prefixes.append(known)
-                key = (key << np.int64(31 if wide else bits)) | column
+                key <<= np.int64(31 if wide else bits)
+                key |= np.concatenate(columns.pop(0))
             key, total = _summed(key, np.concatenate(counts))
             if wide:
                 found = []
@@ -195,13 +201,15 @@ def frequent(runs: DataFrame, longest: int, least: int) -> DataFrame:
                 found = _split(key, bits, longest)
             single = found[1] == 0 if longest > 1 else np.ones(len(total), bool)
             kept = np.flatnonzero(total >= least)
-            text = np.array([None] + [w.decode() for w in words], object)
-            part = pd.DataFrame({c: text[v[kept]] for c, v in zip(names, found, strict=True)})
+            words = list(number)
+            part = pd.DataFrame(
+                {c: [words[w].decode() if w else None for w in v[kept]] for c, v in zip(names, found, strict=True)}
+            )
             part.insert(0, "size", sum((v[kept] > 0).astype(np.int32) for v in found))
             part.insert(0, "lang", lang)
             part["f"] = total[kept]
             out += [part, pd.DataFrame({"lang": [lang], "size": [0], "f": [int(total[single].sum())]})]
-        return pd.concat([p for p in out if len(p)])[["lang", "size", *names, "f"]]
+        return pd.concat([p for p in out if len(p)]).reindex(columns=["lang", "size", *names, "f"])
 
     schema = f"lang string, size int, {', '.join(f'{n} string' for n in names)}, f bigint"
     return runs.groupBy("shard").applyInPandas(merge, schema)
