@@ -170,7 +170,7 @@ def frequent(runs: DataFrame, longest: int, least: int) -> DataFrame:
     names = [f"w{i + 1}" for i in range(longest)]
 
     def merge(frame: pd.DataFrame) -> pd.DataFrame:
-        out = []
+        out = {c: [] for c in ("lang", "size", *names, "f")}
         for lang, rows in frame.groupby("lang", sort=True):
             number = Vocabulary({b"": 0})
             columns, counts = [[] for _ in names], []
@@ -202,14 +202,12 @@ def frequent(runs: DataFrame, longest: int, least: int) -> DataFrame:
             single = found[1] == 0 if longest > 1 else np.ones(len(total), bool)
             kept = np.flatnonzero(total >= least)
             words = list(number)
-            part = pd.DataFrame(
-                {c: [words[w].decode() if w else None for w in v[kept]] for c, v in zip(names, found, strict=True)}
-            )
-            part.insert(0, "size", sum((v[kept] > 0).astype(np.int32) for v in found))
-            part.insert(0, "lang", lang)
-            part["f"] = total[kept]
-            out += [part, pd.DataFrame({"lang": [lang], "size": [0], "f": [int(total[single].sum())]})]
-        return pd.concat([p for p in out if len(p)]).reindex(columns=["lang", "size", *names, "f"])
+            for name, column in zip(names, found, strict=True):
+                out[name] += [words[w].decode() if w else None for w in column[kept]] + [None]
+            out["lang"] += [lang] * (len(kept) + 1)
+            out["size"] += [*sum((v[kept] > 0).astype(np.int32) for v in found).tolist(), 0]
+            out["f"] += [*total[kept].tolist(), int(total[single].sum())]
+        return pd.DataFrame(out)
 
     schema = f"lang string, size int, {', '.join(f'{n} string' for n in names)}, f bigint"
     return runs.groupBy("shard").applyInPandas(merge, schema)
