@@ -10,8 +10,16 @@ from concurrent.futures import ThreadPoolExecutor
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from openends.operators import forest
 from openends.operators.ranks import sample_per_group
-from openends.operators.training import train
+from openends.operators.training import (
+    cut_lineage,
+    encode_target,
+    feature_names,
+    group_folds,
+    task_labels,
+    train,
+)
 
 log = logging.getLogger("openends")
 
@@ -56,6 +64,50 @@ def with_cells(rows: DataFrame, sample: DataFrame, grid: Sequence[int]) -> DataF
     return rows.join(cells, CONVERSATION)
 
 
+def _cell_rows(
+    cell_features: DataFrame, labels: DataFrame, task: str, n_repeats: int, n_splits: int, seed: int
+) -> tuple[DataFrame, int]:
+    """(n_per_ad, repeat, ad_id, label, fold, x) of the labelled ads of all cells, and the number of classes.
+
+    The ads of a repeat are dealt to folds once, for all sizes.
+    """
+    names = feature_names(cell_features.drop(*CELL))
+    rows = cell_features.join(task_labels(labels, task).select("ad_id", "target"), "ad_id")
+    rows = cut_lineage(encode_target(rows.filter("target IS NOT NULL")))
+    n_classes = rows.agg(F.max("label")).first()[0]
+    folds = None
+    for repeat in range(n_repeats):
+        ads = rows.filter(F.col("repeat") == repeat).select("ad_id").distinct()
+        splits = min(n_splits, ads.count())
+        if splits < 2:
+            log.warning("repeat %d left out: fewer than 2 labelled ads", repeat)
+            continue
+        part = group_folds(ads, splits, seed + repeat).withColumn("repeat", F.lit(repeat))
+        folds = part if folds is None else folds.unionByName(part)
+    if folds is None:
+        return rows.limit(0).withColumns({"fold": F.lit(0), "x": F.array(F.lit(0.0))}), 1
+    x = F.array(*[F.coalesce(F.col(f"`{name}`").cast("double"), F.lit(0.0)) for name in names])
+    joined = rows.join(folds, ["ad_id", "repeat"]).withColumn("x", x)
+    return cut_lineage(joined.select(*CELL, "ad_id", "label", "fold", "x")), int(n_classes) + 1
+
+
+def cell_accuracies(
+    cell_features: DataFrame,
+    labels: DataFrame,
+    n_repeats: int,
+    task: str = "3class",
+    n_splits: int = 5,
+    seed: int = 42,
+    n_trees: int = 300,
+) -> DataFrame:
+    """(n_per_ad, repeat, accuracy): mean fold accuracy of every cell, all fitted by one plan."""
+    rows, n_classes = _cell_rows(cell_features, labels, task, n_repeats, n_splits, seed)
+    scored = forest.cross_validate(rows, CELL, n_classes, n_trees, seed)
+    right = (F.col("prediction") == F.col("label")).cast("double")
+    folds = scored.groupBy(*CELL, "fold").agg(F.avg(right).alias("score"))
+    return folds.groupBy(*CELL).agg(F.avg("score").alias("accuracy"))
+
+
 def learning_curve(
     cell_features: DataFrame,
     labels: DataFrame,
@@ -70,10 +122,16 @@ def learning_curve(
 ) -> DataFrame:
     """Mean and population std of grouped accuracy per number of conversations.
 
-    `cell_features` holds the ad features of all cells, computed by one plan; only
-    the model fits go cell by cell, `parallelism` cells at a time. A cell that cannot be scored
-    is left out; `n_repeats` tells how many stand behind a mean.
+    `cell_features` holds the ad features of all cells, computed by one plan; forests of all cells
+    and folds are fitted by one plan as well. Other models go cell by cell, `parallelism` cells at
+    a time. A cell that cannot be scored is left out; `n_repeats` tells how many stand behind a mean.
     """
+    if model_name == "random_forest" and task != "regression":
+        accuracies = cell_accuracies(
+            cell_features, labels, n_repeats, task, n_splits, seed, n_trees or 300
+        )
+        wanted = F.col("n_per_ad").isin(list(grid))
+        return _curve_table(accuracies.filter(wanted).withColumnRenamed("n_per_ad", "n_conversations"))
 
     def cell_accuracy(cell: tuple[int, int]) -> tuple[int, int, float] | None:
         n, repeat = cell
@@ -94,6 +152,10 @@ def learning_curve(
     table = cell_features.sparkSession.createDataFrame(
         scores, "n_conversations int, repeat int, accuracy double"
     )
+    return _curve_table(table)
+
+
+def _curve_table(table: DataFrame) -> DataFrame:
     return table.groupBy("n_conversations").agg(
         F.count("accuracy").alias("n_repeats"),
         F.avg("accuracy").alias("mean_accuracy"),
