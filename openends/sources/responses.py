@@ -18,10 +18,17 @@ log = logging.getLogger("openends")
 NUMBER = r"^\s*[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?\s*$"
 
 
+# Folder column of the batches of a response table.
+BATCH = "openends_batch"
+
+
 def read_table(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFrame:
-    """Read a raw table; CSV is read as text and typed by the contract later."""
+    """Read a raw table; CSV is read as text and typed by the contract later.
+
+    The column that tells the batches of `append_responses` apart is left out.
+    """
     reader = spark.read.option("header", True) if fmt == "csv" else spark.read
-    return reader.format(fmt).load(path)
+    return reader.format(fmt).load(path).drop(BATCH)
 
 
 def check_columns(columns: list[str], themes: Mapping[str, Mapping]) -> list[str]:
@@ -149,13 +156,34 @@ def combine_responses(
     return existing.select(*required).unionByName(new_rows.select(*required))
 
 
-def append_responses(new_rows: DataFrame, path: str, themes: Mapping[str, Mapping]) -> None:
-    """Append checked rows to a parquet response table without rewriting it."""
+def batch_name(rows: DataFrame) -> str:
+    """A name that depends on the rows only, in whatever order they come."""
+    values = F.xxhash64(*[F.col(f"`{c}`").cast("string") for c in rows.columns])
+    n, total = rows.agg(F.count(F.lit(1)), F.sum(values.cast("decimal(38,0)"))).first()
+    return f"b{n}x{int(total or 0) % (1 << 64):016x}"
+
+
+def append_responses(
+    new_rows: DataFrame, path: str, themes: Mapping[str, Mapping], batch: str | None = None
+) -> None:
+    """Add checked rows to a parquet response table as one batch, without rewriting it.
+
+    A batch has a folder of its own, named by `batch` or by its rows, which the write replaces as
+    a whole. So a batch that is added again, or after a write that failed halfway, is there
+    once. A table that was written without batches goes on without them.
+    """
     required = [f"`{c}`" for c in check_columns(new_rows.columns, themes)]
     check_order(new_rows)
+    batched = True
     try:
-        check_columns(new_rows.sparkSession.read.parquet(path).columns, themes)
+        found = new_rows.sparkSession.read.parquet(path).columns
+        check_columns(found, themes)
+        batched = BATCH in found
     except AnalysisException as error:
         if error.getCondition() != "PATH_NOT_FOUND":
             raise
-    new_rows.select(*required).write.mode("append").parquet(path)
+    rows = new_rows.select(*required)
+    if batched:
+        rows.write.mode("overwrite").parquet(f"{path}/{BATCH}={batch or batch_name(rows)}")
+    else:
+        rows.write.mode("append").parquet(path)

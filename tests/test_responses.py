@@ -124,3 +124,28 @@ def test_unpivot_needs_no_shuffle(spark):
     df = responses.load_responses(raw(spark, ROW), defaults.THEMES)
     plan = segments.build_segments(df, defaults.THEMES)._jdf.queryExecution().toString()
     assert "Exchange" not in plan
+
+
+def test_a_batch_that_is_appended_again_is_there_once(spark, tmp_path):
+    path = str(tmp_path / "responses")
+    first = raw(spark, ROW, ("R2", *ROW[1:]))
+    for rows in (first, first.repartition(3), raw(spark, ("R3", *ROW[1:])), first):
+        responses.append_responses(rows, path, defaults.THEMES)
+    stored = responses.load_responses(responses.read_table(spark, path), defaults.THEMES)
+    assert sorted(r.respondent_id for r in stored.collect()) == ["R1", "R2", "R3"]
+
+
+def test_a_named_batch_is_replaced(spark, tmp_path):
+    path = str(tmp_path / "responses")
+    for name in ("R1", "R2"):
+        responses.append_responses(raw(spark, (name, *ROW[1:])), path, defaults.THEMES, batch="monday")
+    stored = responses.load_responses(responses.read_table(spark, path), defaults.THEMES)
+    assert [r.respondent_id for r in stored.collect()] == ["R2"]
+
+
+def test_a_table_without_batches_goes_on_without_them(spark, tmp_path):
+    path = str(tmp_path / "responses")
+    raw(spark, ROW).write.parquet(path)
+    responses.append_responses(raw(spark, ("R2", *ROW[1:])), path, defaults.THEMES)
+    stored = responses.load_responses(responses.read_table(spark, path), defaults.THEMES)
+    assert sorted(r.respondent_id for r in stored.collect()) == ["R1", "R2"]
