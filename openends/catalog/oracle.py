@@ -9,6 +9,7 @@ from __future__ import annotations
 from openends import defaults
 from openends.catalog import tables as t
 from openends.functions.text import NOT_WORD_OR_SPACE, SPACES, TERM, WORD
+from openends.operators import density
 
 DIM = t.STUDY.output_dim
 SETS = t.STUDY.anchor_sets()
@@ -372,6 +373,52 @@ DENSITY = f"""placed AS (
 )"""
 
 
+def projected_topics(radius: float, tables: list) -> str:
+    """Topics of documents by buckets of projections, one row per number of a vector."""
+    listed = ", ".join(
+        f"({t}, {k}, {vector}, {offset})"
+        for t, directions in enumerate(tables)
+        for k, (vector, offset) in enumerate(directions)
+    )
+    width = density.WIDTH * density.STEPS * density.UNIT
+    return f"""WITH RECURSIVE {sparse('v', 'documents', 'doc_id')}, filled AS (
+      SELECT d.doc_id, r.i, coalesce(round(v.w * {density.STEPS / radius!r}::DOUBLE), 0)::BIGINT AS q
+      FROM documents d CROSS JOIN range(64) r(i)
+      LEFT JOIN v ON v.doc_id = d.doc_id AND v.b = r.i
+    ), placed AS (
+      SELECT doc_id, md5(string_agg(q::VARCHAR, ',' ORDER BY i)) AS place FROM filled GROUP BY 1
+    ), places AS (
+      SELECT place, count(*) AS n, min(doc_id) AS doc_id FROM placed GROUP BY 1
+    ), pq AS (SELECT place, n, i, q FROM places JOIN filled USING (doc_id)
+    ), listed AS (SELECT * FROM (VALUES {listed}) AS x(t, k, vector, shift)
+    ), axes AS (SELECT t, k, shift, unnest(vector) AS a, unnest(range(64)) AS i FROM listed
+    ), cells AS (
+      SELECT place, t, k, floor((sum(q * a) + max(shift)) / {width}.0::DOUBLE)::BIGINT AS cell
+      FROM pq JOIN axes USING (i) GROUP BY ALL
+    ), buckets AS (
+      SELECT place, t || ':' || string_agg(cell::VARCHAR, ',' ORDER BY k) AS bucket
+      FROM cells GROUP BY place, t
+    ), means AS (
+      SELECT bucket, i, sum(q * n)::DOUBLE / sum(n)::DOUBLE AS mean
+      FROM buckets JOIN pq USING (place) GROUP BY ALL
+    ), near AS (
+      SELECT bucket, place, max(n) AS n FROM buckets JOIN pq USING (place)
+      JOIN means USING (bucket, i) GROUP BY bucket, place
+      HAVING sum((q - mean) * (q - mean)) <= {density.STEPS**2}
+    ), links AS (
+      SELECT place, min(place) OVER (PARTITION BY bucket) AS hub FROM near
+      QUALIFY sum(n) OVER (PARTITION BY bucket) >= 3
+    ), both_ways AS (SELECT place AS a, hub AS b FROM links UNION SELECT hub, place FROM links
+    ), reach AS (
+      SELECT a AS place, a AS label FROM both_ways
+      UNION SELECT e.b, r.label FROM reach r JOIN both_ways e ON e.a = r.place
+    ), groups AS (SELECT place, min(label) AS label FROM reach GROUP BY 1), sized AS (
+      SELECT doc_id, label, count(*) OVER (PARTITION BY label) AS size
+      FROM placed LEFT JOIN groups USING (place)
+    ) SELECT doc_id, CASE WHEN label IS NULL OR size < 8 THEN -1
+      ELSE ('0x' || substr(label, 1, 13))::BIGINT END AS topic_id FROM sized"""
+
+
 def oracle() -> dict[str, str]:
     """SQL per query name."""
     sql: dict[str, str] = {}
@@ -569,6 +616,10 @@ def oracle() -> dict[str, str]:
     sql["topics_density"] = f"""WITH RECURSIVE {DENSITY}
       SELECT segment_id, ad_id, CASE WHEN label IS NULL OR size < 8 THEN -1
         ELSE ('0x' || substr(md5(label), 1, 13))::BIGINT END AS topic_id FROM assigned"""
+    sql["topics_projected"] = projected_topics(
+        t.DENSITY["radius"],
+        density.directions_of(64, t.DENSITY["tables"], t.DENSITY["directions"], 42),
+    )
     sql["judge_parse"] = (
         f"WITH {JUDGE_RAW} SELECT segment_id, construct, round(judge_score, 6) AS judge_score "
         "FROM replies"

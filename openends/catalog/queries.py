@@ -17,6 +17,7 @@ from openends.operators import (
     anchors,
     checks,
     curve,
+    density,
     drivers,
     encode,
     judge,
@@ -485,6 +486,17 @@ def topics_density(spark, sf_dir):
     return df.select("segment_id", "ad_id", "topic_id")
 
 
+@query
+def topics_projected(spark, sf_dir):
+    """Density topics of documents on all numbers of their vectors."""
+    docs = t.document_segments(spark, sf_dir)
+    df = density.projected_topics(
+        docs.select("doc_id", "segment_id", vx.hashed_vector(F.col("text"), 64).alias("coords")),
+        **t.DENSITY,
+    )
+    return df.select("doc_id", "topic_id")
+
+
 def topics_kmeans_points(spark: SparkSession, sf_dir: str) -> DataFrame:
     points = topics.reduce_pca(t.vector_segments(spark, sf_dir).drop("topic_id"), 5)
     return topics.kmeans_topics(points, k=10, min_cluster_size=8)

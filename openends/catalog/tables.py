@@ -22,6 +22,8 @@ ANSWERS = [c for spec in defaults.THEMES.values() for c in spec["source_columns"
 # Ads follow the data: so many conversations, or vectors, make one.
 PER_AD = 10
 VECTORS_PER_AD = 25
+# Density topics of documents; buckets are fixed so that the SQL can name them at every size.
+DENSITY = {"dim": 64, "radius": 0.35, "min_points": 3, "directions": 8, "tables": 5}
 # The label tables name ten groups of vectors; they act as constructs here.
 VECTOR_CONSTRUCTS = {f"c{i}": THEME_NAMES[i % 4] for i in range(10)}
 # Common English words kept out of topic labels.
