@@ -419,6 +419,35 @@ def projected_topics(radius: float, tables: list) -> str:
       ELSE ('0x' || substr(label, 1, 13))::BIGINT END AS topic_id FROM sized"""
 
 
+def run_counts() -> str:
+    """Every count of a run, from its responses and flagged segments."""
+    flags = [*FLAGS.split(", "), "quarantined"]
+    parts = [
+        "SELECT 'responses' AS part, 'rows' AS name, count(*) AS n FROM responses",
+        "SELECT 'responses', 'blank_keys', count(*) FROM responses "
+        "WHERE trim(respondent_id) = '' OR trim(ad_id) = ''",
+        "SELECT 'responses', 'kept', count(*) FROM responses "
+        "WHERE trim(respondent_id) <> '' AND trim(ad_id) <> ''",
+        "SELECT 'responses', 'respondents', count(DISTINCT respondent_id) FROM responses",
+        "SELECT 'responses', 'ads', count(DISTINCT ad_id) FROM responses",
+        "SELECT 'quality', 'segments', count(*) FROM qc",
+        *[f"SELECT 'quality', '{flag}', count(*) FROM qc WHERE {flag}" for flag in flags],
+        "SELECT 'quality', 'fully_quarantined_ads', count(*) FROM (SELECT DISTINCT ad_id FROM qc "
+        "EXCEPT SELECT ad_id FROM qc WHERE NOT quarantined)",
+        *[
+            f"SELECT 'scoreable', '{theme}', count(*) FROM qc "
+            f"WHERE NOT quarantined AND theme = '{theme}'"
+            for theme in THEMES
+        ],
+        *[
+            f"SELECT 'scores', 'anchor_{s.construct}', count(*) FROM qc "
+            f"WHERE NOT quarantined AND theme = {quoted(s.theme)}"
+            for s in SETS
+        ],
+    ]
+    return f"WITH {SEGMENTS}, {gate('segments')} {' UNION ALL '.join(parts)}"
+
+
 def oracle() -> dict[str, str]:
     """SQL per query name."""
     sql: dict[str, str] = {}
@@ -695,6 +724,7 @@ def oracle() -> dict[str, str]:
     FROM orders LEFT JOIN stats USING (n_per_ad, "repeat", ad_id)"""
     sql["predict_ads"] = sql["ad_features"]
     sql["predict_respondents"] = sql["respondent_features"]
+    sql["predict_counts"] = run_counts()
     sql["predict_quality"] = sql["qc_report"].replace(DOCS, SEGMENTS).replace(
         gate("docs"), gate("segments")
     )

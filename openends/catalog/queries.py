@@ -787,6 +787,20 @@ def predict_respondents(spark, sf_dir):
     return big(rounded(plain_run(spark, sf_dir).respondent_features), "order_shown")
 
 
+@query
+def predict_counts(spark, sf_dir):
+    """Everything a run counts, by the writes themselves."""
+    return plain_run(spark, sf_dir).counts
+
+
+@query
+def density_run(spark, sf_dir):
+    """A run whose topics, and their number, follow from the density of the vectors."""
+    study = dataclasses.replace(STUDY, topic_method="density")
+    result = predict_plan.predict(t.raw_responses(spark, sf_dir), study)
+    return rounded(result.topic_shares)
+
+
 @query
 def predict_quality(spark, sf_dir):
     return plain_run(spark, sf_dir).quality_report

@@ -124,9 +124,18 @@ class Study:
     calibration: Calibration = Calibration()
     exclude_quarantined: bool = True
     run_discovery: bool = True
+    # "kmeans" makes `topics` groups of reduced vectors; "density" finds their number itself.
+    topic_method: str = "kmeans"
     topics: int = 10
     min_cluster_size: int = 8
     reduced_dim: int = 5
+    # Density topics: reach of a group's core, in the units of the vectors (or of their first
+    # `density_dim` principal components), and the rows that make a core.
+    density_radius: float = 0.35
+    density_dim: int | None = None
+    density_min_points: int = 3
+    # So many topics, the largest, become feature columns; the long table of shares has all.
+    share_columns: int = 100
     model_name: str = "random_forest"
     n_splits: int = 5
     n_trees: int = 300
@@ -136,5 +145,11 @@ class Study:
     judge_constructs: tuple[str, ...] = ("enjoyability", "authenticity")
     seed: int = 42
 
+    def check_topics(self) -> None:
+        if self.topic_method not in ("kmeans", "density"):
+            raise ValueError(f"unknown topic method {self.topic_method!r}; kmeans or density")
+        if self.topic_method == "density" and self.density_radius <= 0:
+            raise ValueError(f"the density radius must be positive, got {self.density_radius}")
+
     def anchor_sets(self) -> list[AnchorSet]:
         return anchor_sets(self.anchors, self.construct_themes, active_themes(self.themes))

@@ -176,7 +176,10 @@ def topic_shares(assigned: DataFrame, within: Sequence[str] = ()) -> DataFrame:
 def topic_shares_wide(
     shares: DataFrame, topic_ids: Sequence[int], within: Sequence[str] = ()
 ) -> DataFrame:
-    """One topic_share_<id> column per given topic; 0 where an ad lacks the topic."""
+    """One topic_share_<id> column per given topic; 0 where an ad lacks the topic.
+
+    Topics that are not given still count in an ad's total.
+    """
     keys = [*within, "ad_id"]
     wide = shares.groupBy(*keys).pivot("topic_id", list(topic_ids)).agg(F.max("share"))
     return wide.select(
@@ -185,10 +188,15 @@ def topic_shares_wide(
     )
 
 
-def topic_ids(assigned: DataFrame) -> list[int]:
-    """Topics that were found, noise aside; with k-means at most k."""
-    found = assigned.filter(F.col("topic_id") != NOISE).select("topic_id").distinct()
-    return [r.topic_id for r in found.orderBy("topic_id").collect()]
+def topic_ids(assigned: DataFrame, most: int | None = None) -> list[int]:
+    """Topics that were found, noise aside, in order; with k-means at most k.
+
+    Where their number follows from the data, `most` asks for the largest, ties by id.
+    """
+    found = assigned.filter(F.col("topic_id") != NOISE).groupBy("topic_id").count()
+    if most is not None:
+        found = found.orderBy(F.desc("count"), "topic_id").limit(most)
+    return sorted(r.topic_id for r in found.collect())
 
 
 def topic_summary(assigned: DataFrame) -> DataFrame:

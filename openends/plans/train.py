@@ -16,6 +16,7 @@ from openends.plans.predict import (
     flagged_segments,
     predict,
     scored_segments,
+    share_topics,
 )
 from openends.sources import responses as response_tables
 from openends.sources.shared import cut_lineage
@@ -72,7 +73,7 @@ def curve_features(
         topic_of.select(*keys, "topic_id").dropDuplicates(keys), keys
     )
     wide = topics.topic_shares_wide(
-        topics.topic_shares(topical, cell), topics.topic_ids(topic_of), cell
+        topics.topic_shares(topical, cell), share_topics(topic_of, study), cell
     )
     return rollup.with_topic_shares(ads, wide, cell)
 

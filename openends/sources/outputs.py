@@ -38,6 +38,14 @@ def write_prediction(result: PredictResult, folder: str) -> None:
         write_csv(result.judge_report, f"{folder}/judge_report.csv")
 
 
+def write_details(result: PredictResult, folder: str) -> None:
+    """What a run counted, and the shares of all topics, one row per ad and topic."""
+    if result.counts is not None:
+        write_csv(result.counts, f"{folder}/run_counts.csv")
+    if result.topic_shares is not None:
+        write_csv(result.topic_shares, f"{folder}/topic_shares.csv")
+
+
 def write_training(run: TrainRun, folder: str) -> None:
     """Everything a predict run writes, and the model report."""
     write_prediction(run.prediction, folder)

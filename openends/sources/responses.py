@@ -120,6 +120,18 @@ def load_responses(
     return _cleaned(raw, themes, row_order).filter(_keys_present())
 
 
+def key_counters(
+    raw: DataFrame, themes: Mapping[str, Mapping]
+) -> tuple[DataFrame, dict[tuple[str, str], Column]]:
+    """Rows read, kept, and dropped for a blank key: the cleaned rows and the counters on them."""
+    present = _keys_present()
+    return _cleaned(raw, themes, None), {
+        ("responses", "rows"): F.count(F.lit(1)),
+        ("responses", "blank_keys"): F.count_if(~present),
+        ("responses", "kept"): F.count_if(present),
+    }
+
+
 def blank_key_count(raw: DataFrame, themes: Mapping[str, Mapping]) -> DataFrame:
     """How many rows lack a respondent or ad key."""
     return _cleaned(raw, themes, None).agg(

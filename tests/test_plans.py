@@ -205,3 +205,71 @@ def test_an_encoder_that_loses_rows_is_refused(spark):
 
     with pytest.raises(EncoderConfigError, match="for 2 texts"):
         retrying(EncoderSettings("short", 2, lambda texts: [[1.0, 2.0]]))(["a", "b"])
+
+
+def test_counts_of_a_run(raw, prediction):
+    counts = {(r.part, r.name): r.n for r in prediction.counts.collect()}
+    assert len(counts) == prediction.counts.count()
+    n = raw.count()
+    assert counts["responses", "rows"] == counts["responses", "kept"] == n
+    assert counts["quality", "segments"] == 4 * n == prediction.segments.count()
+    usable = prediction.segments.filter("NOT quarantined")
+    assert counts["quality", "quarantined"] == 4 * n - usable.count()
+    per_theme = {r.theme: r["count"] for r in usable.groupBy("theme").count().collect()}
+    assert {k: v for (part, k), v in counts.items() if part == "scoreable" and v} == per_theme
+    assert counts["topics", "n_segments"] == usable.count()
+    assert counts["topics", "n_noise"] == prediction.topics.filter("topic_id = -1").count()
+
+
+def test_blank_keys_are_counted_and_the_input_is_not_read_again(spark, raw, tmp_path):
+    path = str(tmp_path / "raw")
+    blank = raw.limit(3).withColumn("Ad ID", F.lit("  "))
+    none = raw.limit(2).withColumn("Respondent ID", F.lit(None).cast("string"))
+    raw.unionByName(blank).unionByName(none).write.parquet(path)
+    study = dataclasses.replace(SMALL, run_discovery=False)
+    result = predict_plan.predict(spark.read.parquet(path), study)
+    counts = {(r.part, r.name): r.n for r in result.counts.collect()}
+    assert counts["responses", "blank_keys"] == 5
+    assert counts["responses", "rows"] == counts["responses", "kept"] + 5
+    for table in (result.ad_features, result.quality_report):
+        plan = table._jdf.queryExecution().executedPlan().toString()
+        assert path not in plan
+
+
+def test_an_empty_input_is_counted_as_such(raw):
+    result = predict_plan.predict(raw.limit(0), SMALL)
+    counts = {(r.part, r.name): r.n for r in result.counts.collect()}
+    assert counts["responses", "rows"] == counts["quality", "segments"] == 0
+    assert not any(counts.values()) and result.topic_shares is None
+
+
+def test_density_topics_in_a_run(spark, raw, tmp_path, sf_dir):
+    study = dataclasses.replace(
+        SMALL, topic_method="density", density_radius=0.9, share_columns=2
+    )
+    # Every answer three times over, by other respondents: groups that density must find.
+    copies = [raw.withColumn("Respondent ID", F.concat(F.lit(f"c{i}"), "Respondent ID"))
+              for i in range(2)]
+    result = predict_plan.predict(raw.unionByName(copies[0]).unionByName(copies[1]),
+                                  dataclasses.replace(study, near_duplicate_min_len=10**6))
+    assert result.topics.filter("topic_id <> -1").count() > 0
+    shares = result.topic_shares.groupBy("ad_id").agg(F.sum("share").alias("total")).collect()
+    assert shares and all(r.total == pytest.approx(1) for r in shares)
+    wide = [c for c in result.ad_features.columns if c.startswith("topic_share_")]
+    found = result.topics.filter("topic_id <> -1").groupBy("topic_id").count().collect()
+    largest = sorted(found, key=lambda r: (-r["count"], r.topic_id))[:2]
+    assert {c.removeprefix("topic_share_") for c in wide} == {str(r.topic_id) for r in largest}
+    outputs.write_details(result, str(tmp_path))
+    written = spark.read.option("header", True).csv(f"{tmp_path}/topic_shares.csv")
+    assert written.count() == result.topic_shares.count()
+    counts = spark.read.option("header", True).csv(f"{tmp_path}/run_counts.csv")
+    assert counts.columns == ["part", "name", "n"] and counts.count() == result.counts.count()
+    # The same on the principal components.
+    reduced = predict_plan.predict(raw, dataclasses.replace(study, density_dim=4))
+    assert reduced.topics.count() == reduced.segments.filter("NOT quarantined").count()
+
+
+def test_topic_settings_are_checked(raw):
+    for change in ({"topic_method": "other"}, {"topic_method": "density", "density_radius": 0}):
+        with pytest.raises(ValueError, match="method|radius"):
+            predict_plan.predict(raw, dataclasses.replace(SMALL, **change))
