@@ -13,7 +13,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from openends.llm import exact_dedup, jaccard_join, packing, quality, toxicity
+from openends.llm import exact_dedup, packing, quality, toxicity, vptree
 from openends.llm.common import read, tokenizer_path, unique
 from openends.sources.shared import stored
 
@@ -46,9 +46,9 @@ def exact_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each near-duplicate group, the one with the smallest id.
 
-    Documents are near copies if their runs of five words agree to 0.8 or more.
+    Groups are those of `op5_simhash_dedup`: fingerprints within two bits, found by the vantage-point tree.
     """
-    groups = jaccard_join.jaccard_groups(docs, percent=80, size=5)
+    groups = vptree.simhash_groups(docs, radius=2, size=3)
     return _kept(docs, groups.filter("doc_id = component_id"))
 
 
@@ -66,7 +66,7 @@ STAGES: list[tuple[str, Stage]] = [
 ]
 
 # Trained models, fingerprints and a tokenizer: not for SQL. Tests hold the near copies against
-# exact likeness and union-find, and the run against its stages; the fitted models have no plain version of their own.
+# all pairs of fingerprints and union-find, and the run against its stages; the fitted models have no plain version of their own.
 ORACLE_SQL: str | None = None
 
 
