@@ -7,12 +7,15 @@ from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
 from pyspark.ml import Model
-from pyspark.ml.classification import GBTClassifier, OneVsRest, RandomForestClassifier
+from pyspark.ml.classification import GBTClassifier, OneVsRest
 from pyspark.ml.feature import StringIndexer, VectorAssembler
-from pyspark.ml.regression import GBTRegressor, RandomForestRegressor
+from pyspark.ml.functions import vector_to_array
+from pyspark.ml.regression import GBTRegressor
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from openends.operators import forest
+from openends.operators.forest import ForestModel
 from openends.operators.ranks import shuffled_positions
 from openends.sources.shared import cut_lineage
 
@@ -20,7 +23,6 @@ log = logging.getLogger("openends")
 
 # Columns of the ad table that are no model input.
 NOT_FEATURES = ["ad_id", "n_conversations"]
-MAX_DEPTH = 30
 
 
 @dataclass(frozen=True)
@@ -34,7 +36,7 @@ class TrainResult:
     mean_score: float
     std_score: float
     feature_names: list[str]
-    model: Model | None
+    model: Model | ForestModel | None
     rows: DataFrame
 
 
@@ -121,15 +123,7 @@ def score_summary(scores: DataFrame) -> DataFrame:
 
 
 def make_classifier(name: str, seed: int, n_trees: int | None, n_classes: int):
-    """Random forest (300 trees, weighted) or boosted trees (100, depth 3)."""
-    if name == "random_forest":
-        return RandomForestClassifier(
-            numTrees=n_trees or 300,
-            maxDepth=MAX_DEPTH,
-            seed=seed,
-            weightCol="weight",
-            featureSubsetStrategy="sqrt",
-        )
+    """Boosted trees (100, depth 3); forests are `operators/forest.py`."""
     if name == "gradient_boosting":
         boosted = GBTClassifier(maxIter=n_trees or 100, maxDepth=3, stepSize=0.1, seed=seed)
         # Boosting in Spark has two classes; more become one model per class.
@@ -138,11 +132,7 @@ def make_classifier(name: str, seed: int, n_trees: int | None, n_classes: int):
 
 
 def make_regressor(name: str, seed: int, n_trees: int | None):
-    """Random forest (300 trees, all features) or boosted trees (100, depth 3)."""
-    if name == "random_forest":
-        return RandomForestRegressor(
-            numTrees=n_trees or 300, maxDepth=MAX_DEPTH, seed=seed, featureSubsetStrategy="all"
-        )
+    """Boosted trees (100, depth 3); forests are `operators/forest.py`."""
     if name == "gradient_boosting":
         return GBTRegressor(maxIter=n_trees or 100, maxDepth=3, stepSize=0.1, seed=seed)
     raise ValueError(f"unknown model {name!r}")
@@ -194,13 +184,52 @@ def train(
 ) -> TrainResult:
     """Score a model on held-out groups of ads, then, unless `final` is off, fit it on all.
 
-    `parallelism` fits run at the same time; each is a Spark job.
+    Forests are fitted by one plan over all folds (`operators/forest.py`). Of other models `parallelism` fits run at
+    the same time; each is a Spark job.
     """
     rows, names = training_rows(features, labels, task, n_splits, seed)
     folds = [r.fold for r in rows.select("fold").distinct().orderBy("fold").collect()]
     regression = task == "regression"
     n_classes = 0 if regression else rows.select("target").distinct().count()
 
+    if model_name == "random_forest":
+        x = vector_to_array("features").alias("x")
+        table = rows.select(F.lit(0).alias("table"), "ad_id", "label", "fold", x)
+        predictions = forest.cross_validate(table, ["table"], n_classes, n_trees or 300, seed)
+        model = forest.fit(table, n_classes, n_trees or 300, seed) if final else None
+    else:
+        predictions, model = _spark_fits(
+            rows, folds, regression, n_classes, model_name, seed, n_trees, parallelism, final
+        )
+    scores = cut_lineage((fold_r2 if regression else fold_accuracy)(predictions))
+    fold_scores = [r.score for r in scores.orderBy("fold").collect()]
+    summary = score_summary(scores).first()
+    return TrainResult(
+        task=task,
+        model_name=model_name,
+        metric="r2" if regression else "accuracy",
+        fold_scores=fold_scores,
+        mean_score=summary.mean_score,
+        std_score=summary.std_score,
+        feature_names=names,
+        model=model,
+        rows=rows,
+    )
+
+
+def _spark_fits(
+    rows: DataFrame,
+    folds: list[int],
+    regression: bool,
+    n_classes: int,
+    model_name: str,
+    seed: int,
+    n_trees: int | None,
+    parallelism: int,
+    final: bool,
+) -> tuple[DataFrame, Model | None]:
+    """(predictions of the rows held out, model of all rows) by fits of Spark's own, one per fold."""
+
     def fit(part: DataFrame):
         if regression:
             return make_regressor(model_name, seed, n_trees).fit(part)
@@ -218,20 +247,7 @@ def train(
     predictions = parts[0]
     for part in parts[1:]:
         predictions = predictions.unionByName(part)
-    scores = cut_lineage((fold_r2 if regression else fold_accuracy)(predictions))
-    fold_scores = [r.score for r in scores.orderBy("fold").collect()]
-    summary = score_summary(scores).first()
-    return TrainResult(
-        task=task,
-        model_name=model_name,
-        metric="r2" if regression else "accuracy",
-        fold_scores=fold_scores,
-        mean_score=summary.mean_score,
-        std_score=summary.std_score,
-        feature_names=names,
-        model=model,
-        rows=rows,
-    )
+    return predictions, model
 
 
 def fold_table(spark: SparkSession, result: TrainResult) -> DataFrame:

@@ -78,6 +78,28 @@ def test_trees_learn_their_rows_and_stop_at_equal_inputs():
     assert len(nodes) == 1 and np.allclose(shares, [[0.25, 0.5, 0.25]])
 
 
+def test_a_long_table_is_learned_whole(spark):
+    """One ad in 3,000 differs, and only by its own input: a forest on a sample of the table misses it."""
+    rows = [(0, f"AD{i}", float(i % 1_500 == 7), i % 1_500 // 750, [float(i % 1_500 == 7)] * 2) for i in range(9_000)]
+    df = spark.createDataFrame(rows, "table int, ad_id string, label double, fold int, x array<double>")
+    df = df.withColumn("fold", (F.substring("ad_id", 3, 9).cast("int") / 1_500).cast("int") % 2)
+    got = {r.ad_id: r.prediction for r in forest.cross_validate(df, ["table"], 2, n_trees=30).collect()}
+    assert len(got) == 9_000 and {a for a, p in got.items() if p} == {f"AD{i}" for i in range(7, 9_000, 1_500)}
+
+
+def test_numbers_are_cut_where_the_squared_error_falls_most():
+    rng = np.random.default_rng(3)
+    x, y = rng.integers(0, 9, (60, 1)).astype(float), rng.normal(size=60)
+    stats = np.vstack([y, np.ones(60)])
+    nodes, means, _ = forest.grow_trees(*forest._codes(x), y, stats, np.ones((1, 60)), rng, 1)[0]
+    squares = lambda part: ((part - part.mean()) ** 2).sum()
+    cuts = [(a + b) / 2 for a, b in zip(np.unique(x)[:-1], np.unique(x)[1:], strict=True)]
+    best = min(cuts, key=lambda c: squares(y[x[:, 0] <= c]) + squares(y[x[:, 0] > c]))
+    assert nodes["threshold"][0] == best
+    known = forest.votes(nodes, means, x)[:, 0]
+    assert all(np.isclose(known[i], y[x[:, 0] == x[i, 0]].mean()) for i in range(60))
+
+
 def test_empty_tables_and_single_folds_have_no_rows(spark):
     rows = table(spark, 6)
     assert predictions(rows.limit(0), n_trees=3) == {}

@@ -135,6 +135,20 @@ def test_regressor_and_boosting(ads, ad_labels):
     assert reg.mean_score > 0.7
 
 
+@pytest.mark.parametrize("task", ["3class", "regression"])
+def test_a_forest_is_a_table_and_its_predictions_do_not_depend_on_partitions(spark, ads, ad_labels, task):
+    """Trees are rows in the shared folder: Spark's own forests hold them all on the driver."""
+    results = [training.train(part, ad_labels, task, n_splits=3, n_trees=7) for part in (ads, ads.repartition(5))]
+    assert results[0].fold_scores == results[1].fold_scores
+    first, second = (r.model for r in results)
+    assert first.trees.count() == 7
+    rows = results[0].rows
+    predicted = [{r.ad_id: r.prediction for r in m.transform(rows.repartition(3)).collect()} for m in (first, second)]
+    assert predicted[0] == predicted[1] and len(predicted[0]) == 57
+    label = {r.ad_id: r.label for r in rows.collect()}
+    assert np.mean([abs(predicted[0][a] - label[a]) < 2 for a in label]) > 0.9
+
+
 def test_too_few_ads_or_unknown_model_raise(spark, ads, ad_labels):
     with pytest.raises(ValueError, match="at least 2"):
         training.train(ads, ad_labels.filter("ad_id = 'AD1'"))
