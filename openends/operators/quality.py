@@ -32,6 +32,23 @@ def text_features(segments: DataFrame) -> DataFrame:
     )
 
 
+def with_digests(segments: DataFrame) -> DataFrame:
+    """Segments with all that the gate asks of their texts: word count, norm_text, its digest and length.
+
+    This is the costly part of the gate. Rows that take part more than once, as in
+    resampling cells, get it once and are then flagged by `flag_copies` without their texts.
+    """
+    # The coalesce and the filter state what the joins of the gate need: no key is NULL.
+    digest = F.coalesce(tx.digest(F.col("norm_text")), F.lit(b""))
+    return text_features(segments).withColumns(
+        {
+            "_digest": digest,
+            "_norm_len": F.length("norm_text"),
+            "flag_empty": F.length("text") == 0,
+        }
+    )
+
+
 def quality_gate(
     segments: DataFrame,
     min_tokens: int = 4,
@@ -54,20 +71,29 @@ def quality_gate(
     writes the texts with their digests to the shared folder before they are counted
     and flagged, so cleaning and normalising, the costly part, run once.
     """
-    within = list(within)
-    # The coalesce and the filter state what the joins below need: no key is NULL.
-    digest = F.coalesce(tx.digest(F.col("norm_text")), F.lit(b""))
-    rows = text_features(segments).withColumns(
-        {
-            "_digest": digest,
-            "_norm_len": F.length("norm_text"),
-            "flag_empty": F.length("text") == 0,
-        }
-    )
+    rows = with_digests(segments)
     if materialise:
         # norm_text is as long as the text, so it is redone, if asked for, not stored.
         rows = cut_lineage(rows.drop("norm_text"))
         rows = rows.withColumn("norm_text", tx.match_text(F.col("text")))
+    flagged = flag_copies(
+        rows, min_tokens, near_duplicate_min_len, distinct_respondents, within, rows_per_slice
+    )
+    return flagged.select(
+        *segments.columns, "norm_text", "token_count", *FLAGS, "quarantined"
+    )
+
+
+def flag_copies(
+    rows: DataFrame,
+    min_tokens: int = 4,
+    near_duplicate_min_len: int = 20,
+    distinct_respondents: bool = False,
+    within: Sequence[str] = (),
+    rows_per_slice: int = ROWS_PER_SLICE,
+) -> DataFrame:
+    """Rows of `with_digests` with the four flags and `quarantined`; texts are not looked at."""
+    within = list(within)
     rows = rows.withColumn(
         "flag_too_short", ~F.col("flag_empty") & (F.col("token_count") < min_tokens)
     )
@@ -128,9 +154,7 @@ def quality_gate(
     any_flag = F.col(FLAGS[0])
     for flag in FLAGS[1:]:
         any_flag = any_flag | F.col(flag)
-    return flagged.select(
-        *segments.columns, "norm_text", "token_count", *FLAGS, any_flag.alias("quarantined")
-    )
+    return flagged.withColumn("quarantined", any_flag)
 
 
 def quality_report(flagged: DataFrame) -> DataFrame:

@@ -8,12 +8,11 @@ from dataclasses import dataclass, field
 from pyspark.sql import DataFrame
 
 from openends.config import Study
-from openends.operators import curve, drivers, rollup, segments, topics, training
+from openends.operators import curve, drivers, quality, rollup, segments, topics, training
 from openends.operators.encode import EncoderSettings, embed_segments
 from openends.plans.predict import (
     PredictResult,
     built_in_encoder,
-    flagged_segments,
     predict,
     scored_segments,
     share_topics,
@@ -55,7 +54,11 @@ def curve_features(
         curve.sampled_responses(responses, grid, study.n_repeats, study.seed)
     )
     chosen = curve.sampled_once(responses, sample)
-    long = segments.build_segments(chosen, study.themes).filter("text != ''")
+    # Texts are read once here; the cells, some twenty copies of a row, get digests only.
+    prepared = cut_lineage(
+        quality.with_digests(segments.build_segments(chosen, study.themes)).drop("norm_text")
+    )
+    long = prepared.filter("text != ''").select("segment_id", *segments.ROW_COLUMNS, "theme", "text")
     scored = scored_segments(
         embed_segments(long, encoder, cache_path), study, encoder, cache_path
     )
@@ -64,7 +67,12 @@ def curve_features(
     scores = cut_lineage(
         scored.select(*keys, *rollup.score_columns(scored)).dropDuplicates(keys)
     )
-    flagged = flagged_segments(curve.with_cells(responses, sample, grid), study, within=cell)
+    flagged = quality.flag_copies(
+        curve.with_cells(prepared.drop("text"), sample, grid),
+        study.min_tokens,
+        study.near_duplicate_min_len,
+        within=cell,
+    )
     rows = segments.scoreable(flagged).join(scores, keys)
     ads = rollup.ad_features(rollup.respondent_features(rows, within=cell), within=cell)
     if topic_of is None:

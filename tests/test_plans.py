@@ -273,3 +273,18 @@ def test_topic_settings_are_checked(raw):
     for change in ({"topic_method": "other"}, {"topic_method": "density", "density_radius": 0}):
         with pytest.raises(ValueError, match="method|radius"):
             predict_plan.predict(raw, dataclasses.replace(SMALL, **change))
+
+
+def test_cells_of_the_curve_normalise_no_text(raw, monkeypatch):
+    """A sampled answer is in some twenty cells; its text is prepared once, before the cells are dealt."""
+    responses = predict_plan.response_tables.load_responses(raw, SMALL.themes)
+    dealt = []
+    plain = train_plan.curve.with_cells
+
+    def with_cells(rows, *more):
+        dealt.append(rows.columns)
+        return plain(rows, *more)
+
+    monkeypatch.setattr(train_plan.curve, "with_cells", with_cells)
+    assert train_plan.curve_features(responses, SMALL).count()
+    assert len(dealt) == 1 and "_digest" in dealt[0] and "text" not in dealt[0]
