@@ -490,10 +490,11 @@ def topics_density(spark, sf_dir):
 def topics_projected(spark, sf_dir):
     """Density topics of documents on all numbers of their vectors."""
     docs = t.document_segments(spark, sf_dir)
-    df = density.projected_topics(
-        docs.select("doc_id", "segment_id", vx.hashed_vector(F.col("text"), 64).alias("coords")),
-        **t.DENSITY,
+    vectors = docs.select(
+        "doc_id", "segment_id", vx.hashed_vector(F.col("text"), 64).alias("coords")
     )
+    # A text is encoded once.
+    df = density.projected_topics(shared.stored(vectors, "vectors"), **t.DENSITY)
     return df.select("doc_id", "topic_id")
 
 

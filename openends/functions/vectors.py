@@ -72,15 +72,26 @@ def hash_bucket(token: Column, dim: int) -> Column:
 def hashed_counts(text: Column, dim: int) -> Column:
     """Token counts per hash bucket for the whole text, as one row-local expression.
 
-    The bucket array is bound once; a bucket's count is what removing it takes
-    away, which keeps the inner loops in primitive array code and needs no shuffle.
+    The buckets are sorted together with one of each kind, so that all occur; a bucket's
+    count is the length of its run, less the one. The work grows with the tokens, not with the tokens
+    times the buckets, and needs no shuffle.
     """
     buckets = F.transform(tx.tokens(text), lambda token: hash_bucket(token, dim))
+    each = F.sequence(F.lit(0), F.lit(dim - 1))
+
+    def run_ends(found: Column) -> Column:
+        places = F.sequence(F.lit(1), F.size(found))
+        # Past the last place F.get gives NULL, which no bucket equals.
+        return F.filter(
+            places, lambda p: ~F.get(found, p - 1).eqNullSafe(F.get(found, p))
+        )
+
+    ends = _bind(F.sort_array(F.concat(buckets, each)), run_ends)
     return _bind(
-        buckets,
-        lambda found: F.transform(
-            F.sequence(F.lit(0), F.lit(dim - 1)),
-            lambda i: (F.size(found) - F.size(F.array_remove(found, i))).cast("double"),
+        ends,
+        lambda end: F.transform(
+            end,
+            lambda e, i: (e - F.coalesce(F.get(end, i - 1), F.lit(0)) - 1).cast("double"),
         ),
     )
 

@@ -8,6 +8,7 @@ from __future__ import annotations
 import math
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -55,22 +56,28 @@ def _steps(coords: Column, radius: float) -> Column:
 
 
 def _buckets(steps: Column, plan: list[list[tuple[list[int], int]]]) -> Column:
-    """One bucket per table: the table's number and the cell on each of its directions."""
-    offsets = F.lit([[b for _, b in table] for table in plan])
-    vectors = F.lit([[a for a, _ in table] for table in plan])
+    """One bucket per table: the table's number and the cell on each of its directions, as bytes.
 
-    def cell(vector: Column, offset: Column) -> Column:
-        products = F.zip_with(steps, vector, lambda x, a: x * a.cast("bigint"))
-        along = F.aggregate(products, offset.cast("bigint"), lambda s, x: s + x)
-        # Whole numbers all the way: a bucket's edge is the same on every machine.
-        width = F.lit(WIDTH * STEPS * UNIT)
-        return ((along - F.pmod(along, width)) / width).cast("bigint")
+    A batch meets all directions in one product of whole numbers, so a bucket's edge is the same
+    on every machine.
+    """
+    tables, directions = len(plan), len(plan[0])
+    vectors = np.array([a for table in plan for a, _ in table], dtype=np.int64).T
+    offsets = np.array([b for table in plan for _, b in table], dtype=np.int64)
 
-    def name(table_vectors: Column, number: Column) -> Column:
-        cells = F.zip_with(table_vectors, F.get(offsets, number), cell)
-        return F.concat_ws(":", number.cast("string"), F.array_join(cells, ","))
+    @F.arrow_udf("array<binary>")
+    def buckets(rows: pa.Array) -> pa.Array:
+        n = len(rows)
+        along = rows.flatten().to_numpy(zero_copy_only=False).reshape(n, -1) @ vectors + offsets
+        names = np.empty((n, tables, directions + 1), dtype=np.int64)
+        names[:, :, 0] = np.arange(tables)
+        names[:, :, 1:] = (along // (WIDTH * STEPS * UNIT)).reshape(n, tables, directions)
+        fixed = pa.binary(8 * (directions + 1))
+        named = pa.Array.from_buffers(fixed, n * tables, [None, pa.py_buffer(names)])
+        ends = pa.array(np.arange(n + 1) * tables, pa.int32())
+        return pa.ListArray.from_arrays(ends, named.cast(pa.binary()))
 
-    return F.transform(vectors, name)
+    return buckets(steps)
 
 
 def projected_topics(
@@ -95,6 +102,8 @@ def projected_topics(
     the data, and two points one radius apart share a bucket with the probability of
     `plan_buckets`, which sets `directions` and `tables` if they are not given.
 
+    `points` is read twice; where its coordinates are costly, it is better stored before.
+
     Work is places times tables: counts, sums and two joins per bucket, with hot buckets and
     hot places in slices. Coordinates are rounded to radius / 4096, so the topics, and their ids, hashes
     of the smallest point of a group, do not depend on partitions. All columns of `points` stay.
@@ -104,7 +113,9 @@ def projected_topics(
     )
     steps = F.when(usable, _steps(F.col("coords"), radius))
     placed = points.withColumn("_place", F.md5(F.array_join(steps, ",")))
-    distinct = placed.select("_place", steps.alias("q")).filter("_place IS NOT NULL")
+    # The steps come before the filter's column, so a filter does not have them computed again.
+    distinct = points.filter(usable).select(_steps(F.col("coords"), radius).alias("q"))
+    distinct = distinct.select(F.md5(F.array_join("q", ",")).alias("_place"), "q")
     places = stored(
         distinct.groupBy("_place").agg(F.count(F.lit(1)).alias("n"), F.first("q").alias("q")),
         "places",
@@ -113,8 +124,10 @@ def projected_topics(
         fitted = plan_buckets(places.count())
         directions, tables = directions or fitted[0], tables or fitted[1]
     plan = directions_of(dim, tables, directions, seed)
+    # The numbers of a place are not repeated for each of its buckets yet.
     hits = stored(
-        places.select("*", F.explode(_buckets(F.col("q"), plan)).alias("bucket")), "buckets"
+        places.select("_place", "n", F.explode(_buckets(F.col("q"), plan)).alias("bucket")),
+        "buckets",
     )
     # Counts come first: the sums below are only taken where a bucket can be dense.
     crowded = (
@@ -124,7 +137,7 @@ def projected_topics(
     )
     place_hash = F.xxhash64("_place")
     hits = attach_lookup(hits, crowded, ["bucket"], place_hash, "inner", rows_per_slice)
-    hits = stored(hits, "buckets")
+    hits = stored(hits.join(places.select("_place", "q"), "_place"), "buckets")
     sums = [F.sum(F.col("q")[i] * F.col("n")) for i in range(dim)]
     means = hits.groupBy("bucket").agg(
         F.count(F.lit(1)).alias("n_rows"),
