@@ -74,7 +74,7 @@ def long_segments(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def flagged(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return predict_plan.flagged_segments(cleaned(spark, sf_dir), STUDY)
+    return predict_plan.flagged_segments(cleaned(spark, sf_dir), STUDY, materialise=True)
 
 
 def embedded(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -155,7 +155,8 @@ def token_count_norm_text(spark, sf_dir):
 
 
 def document_flags(spark: SparkSession, sf_dir: str, **options) -> DataFrame:
-    return quality.quality_gate(t.document_segments(spark, sf_dir), **options)
+    """Flags of documents, without texts."""
+    return quality.quality_flags(t.document_segments(spark, sf_dir), **options)
 
 
 @query
@@ -188,7 +189,8 @@ def qc_totals(spark, sf_dir):
 
 @query
 def quarantine_free_segments(spark, sf_dir):
-    return segments.scoreable(document_flags(spark, sf_dir)).select("doc_id", "theme", "text")
+    df = quality.quality_gate(t.document_segments(spark, sf_dir))
+    return segments.scoreable(df).select("doc_id", "theme", "text")
 
 
 @query

@@ -84,6 +84,17 @@ def quality_gate(
     )
 
 
+def quality_flags(segments: DataFrame, **options) -> DataFrame:
+    """The gate for callers that want no texts: every column but `text`, token_count, the four flags and `quarantined`.
+
+    Each text is normalised once: its digest, length and word count are stored in the shared
+    folder, and both reads of the copy checks are of those narrow rows. `options` are those of `flag_copies`.
+    """
+    rows = cut_lineage(with_digests(segments).drop("text", "norm_text"))
+    kept = [c for c in segments.columns if c != "text"]
+    return flag_copies(rows, **options).select(*kept, "token_count", *FLAGS, "quarantined")
+
+
 def flag_copies(
     rows: DataFrame,
     min_tokens: int = 4,

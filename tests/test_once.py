@@ -1,12 +1,14 @@
 """Costly columns are computed once, and by work in proportion to the texts."""
 
 import numpy as np
+import pytest
 
 from pyspark.sql import functions as F
 
 from openends.catalog.queries import QUERIES
+from openends.functions import text as tx
 from openends.functions import vectors as vx
-from openends.operators import density
+from openends.operators import density, quality
 
 SMALL = "/root/testdata/sf0.001"
 
@@ -44,3 +46,45 @@ def test_buckets_are_whole_numbered_products(spark):
             for t, table in enumerate(plan)
         ]
         assert [np.frombuffer(name, dtype=np.int64).tolist() for name in names] == cells
+
+
+@pytest.mark.parametrize(
+    "name",
+    [
+        "qc_flags",
+        "qc_flags_distinct_respondents",
+        "qc_report",
+        "qc_totals",
+        "ads_fully_quarantined",
+        "quarantine_free_segments",
+    ],
+)
+def test_quality_queries_normalise_a_text_once(spark, name):
+    plan = plan_of(QUERIES[name](spark, SMALL))
+    # Both copy checks read stored digests.
+    assert "regexp_replace" not in plan and "sha2(" not in plan
+
+
+def test_flags_without_texts_are_those_of_the_gate(spark):
+    texts = ["Same words here, for both of us", "same  words here for both of us!", "", "no", "a\tb c d e"]
+    rows = [(f"s{i}", i, f"r{i % 3}", "a1", "Memory", texts[i % 5]) for i in range(12)]
+    names = "segment_id string, row_seq int, respondent_id string, ad_id string, theme string, text string"
+    df = spark.createDataFrame(rows, names)
+    for people in (False, True):
+        found = quality.quality_flags(df, distinct_respondents=people)
+        gated = quality.quality_gate(df, distinct_respondents=people).select(found.columns)
+        assert "text" not in found.columns
+        assert sorted(map(tuple, found.collect())) == sorted(map(tuple, gated.collect()))
+
+
+def test_quicker_patterns_give_the_same_match_text(spark):
+    odd = [
+        "A  b  c", "  x\ty \x1c z ", "a-b - c", "Ünï\u0085cödé  …  ЖЗ, 12_3", "\n\n", "a 　", "İ ẞ ²½ Ⅷ",
+        "tab\there", "x​y", "~!@[]^{}|`", None, *[chr(c) + "a " + chr(c) for c in range(1, 0x2100)],
+    ]
+    df = spark.createDataFrame(list(enumerate(odd)), "i int, t string")
+    plain = F.regexp_replace(F.lower("t"), tx.NOT_WORD_OR_SPACE, "")
+    old = F.trim(F.regexp_replace(plain, tx.SPACES, " "))
+    assert df.filter(~tx.match_text(F.col("t")).eqNullSafe(old)).count() == 0
+    assert df.filter(~tx.collapse_spaces(F.col("t")).eqNullSafe(
+        F.trim(F.regexp_replace("t", tx.SPACES, " ")))).count() == 0
