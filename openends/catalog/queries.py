@@ -189,7 +189,8 @@ def qc_totals(spark, sf_dir):
 
 @query
 def quarantine_free_segments(spark, sf_dir):
-    df = quality.quality_gate(t.document_segments(spark, sf_dir))
+    # Texts are asked for, so they are stored with their digests and move once.
+    df = quality.quality_gate(t.document_segments(spark, sf_dir), materialise=True)
     return segments.scoreable(df).select("doc_id", "theme", "text")
 
 
