@@ -10,11 +10,15 @@ from __future__ import annotations
 import hashlib
 import json
 import re
+import struct
 from collections.abc import Callable, Iterator
 from functools import lru_cache
 from typing import Any
 
+import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from tokenizers import Tokenizer
 
@@ -23,6 +27,8 @@ from openends.llm.common import texts
 # Parts beyond this many characters are encoded by tree concatenation, in leaves of LEAF.
 LONG = 128
 LEAF = 64
+# Words that are new to the cache and encoded in one call of the library.
+TOGETHER = 200
 # Parts in one generation of the cache; there are two.
 CACHED = 300_000
 
@@ -32,6 +38,8 @@ _SPACE = re.compile("[^\\S\x1c-\x1f]+")
 # Where a space has white space on both sides or a space beside it, runs of white space
 # are tokens of their own and the text is not cut at spaces.
 _RUN = re.compile(r"  |\s \s")
+# The same for Arrow's regular expressions, whose \s is ASCII only.
+_RUN_ARROW = r"  |[\t-\r\x1c-\x1f\x{85}\p{Z}] [\t-\r\x1c-\x1f\x{85}\p{Z}]"
 # Latin letters without "İ", whose lower case is two characters.
 _SIMPLE = re.compile("( ?)([A-Za-zÀ-ÖØ-öø-\u012f\u0131-\u024f]+)([.,]?)")
 
@@ -109,17 +117,57 @@ class Encoder(dict):
         self.make = make
         self.cached = cached
         self.older: dict = {}
+        space = self.alphabet[32]
+        vocabulary = self.library.get_vocab(with_added_tokens=False)
+        self.spaced = np.zeros(max(self.library.get_vocab().values()) + 1, dtype=bool)
+        self.spaced[[i for token, i in vocabulary.items() if token.startswith(space)]] = True
 
     def __missing__(self, part: str) -> Any:
-        if len(self) >= self.cached:
-            self.older = dict(self)
-            self.clear()
         value = self.older.get(part)
         if value is None:
             value = self.make(self, self.part_ids(part))
-        self[part] = value
+        self.keep(part, value)
         return value
 
+    def keep(self, part: str, value: Any) -> None:
+        if len(self) >= self.cached:
+            self.older = dict(self)
+            self.clear()
+        self[part] = value
+
+    def follow(self, words: list[str]) -> list[Any]:
+        """Values of words as they follow a space; what is new is encoded many words in one call of the library.
+
+        Such words are encoded side by side, each with its space. No token crosses the space before a word
+        that begins with no white space, and the first ids of words, and only these, are of tokens with
+        a space in front. Other words, long ones and special tokens are encoded one by one.
+        """
+        parts = [" " + w for w in words]
+        values = list(map(self.get, parts))
+        missing = [i for i, v in enumerate(values) if v is None]
+        new = []
+        for i in missing:
+            part = parts[i]
+            if part in self.older or not 1 < len(part) <= LONG or part[1].isspace():
+                values[i] = self[part]
+            else:
+                new.append(i)
+        for k in range(0, len(new), TOGETHER):
+            some = new[k : k + TOGETHER]
+            if self.special and self.specials.search("".join([parts[i] for i in some])):
+                for i in some:
+                    values[i] = self[parts[i]]
+                continue
+            text = "".join([parts[i] for i in some])
+            ids = self.library.encode(text, add_special_tokens=False).ids
+            starts = np.flatnonzero(self.spaced[ids]).tolist()
+            if len(starts) != len(some):
+                raise ValueError("the tokenizer does not cut words at the space before them")
+            for i, a, b in zip(some, starts, [*starts[1:], len(ids)], strict=True):
+                values[i] = self.make(self, ids[a:b])
+                self.keep(parts[i], values[i])
+        return values
+
     def parts(self, text: str) -> list[str]:
         """The text cut where no token can cross."""
         if self.by_word:
@@ -190,7 +238,46 @@ class Encoder(dict):
 
 def packed_ids(encoder: Encoder, ids: list[int]) -> bytes:
     """Ids as little-endian unsigned 32-bit numbers."""
-    return b"".join(i.to_bytes(4, "little") for i in ids)
+    return struct.pack(f"<{len(ids)}I", *ids)
+
+
+def column_ids(encoder: Encoder, texts: pa.Array, end: int) -> tuple[np.ndarray, np.ndarray]:
+    """(ids of all texts, each followed by `end`; how many ids each text has with it).
+
+    `encoder` makes packed ids. A word is looked up once however often the column has it, and
+    the ids are gathered by its number. Its words are those of `Encoder.parts`.
+    """
+    texts = texts.cast(pa.large_string())
+    if encoder.by_word:
+        runs = np.ones(len(texts), dtype=bool)
+    else:
+        runs = pc.match_substring_regex(texts, _RUN_ARROW).to_numpy(zero_copy_only=False)
+    split = pc.split_pattern(pc.if_else(pa.array(runs), "", texts), " ")
+    words = split.flatten()
+    offsets = split.offsets.to_numpy() - split.offsets[0].as_py()
+    # A text begins with a word without a space, or is one part as a whole, and ends with the end id.
+    first = words.take(pa.array(offsets[:-1])).to_pylist()
+    for i in np.flatnonzero(runs).tolist():
+        first[i] = texts[i].as_py()
+    spaced = np.ones(len(words), dtype=bool)
+    spaced[offsets[:-1]] = False
+    coded = words.filter(pa.array(spaced)).dictionary_encode()
+    values = encoder.follow(coded.dictionary.to_numpy(zero_copy_only=False).tolist())
+    codes = np.zeros(len(words), dtype=np.int64)
+    codes[spaced] = coded.indices.to_numpy()
+    codes[~spaced] = len(values) + np.arange(len(first))
+    for text, run in zip(first, runs.tolist(), strict=True):
+        values.append(b"".join(encoder.values(text)) if run else encoder[text] if text else b"")
+    codes = np.insert(codes, offsets[1:], len(values))
+    values.append(end.to_bytes(4, "little"))
+    sizes = np.fromiter(map(len, values), dtype=np.int64, count=len(values)) // 4
+    flat = np.frombuffer(b"".join(values), dtype="<u4")
+    lengths = sizes[codes]
+    ends = np.cumsum(lengths)
+    shift = (np.cumsum(sizes) - sizes)[codes] - (ends - lengths)
+    ids = flat[np.arange(ends[-1] if len(ends) else 0) + np.repeat(shift, lengths)]
+    last = ends[offsets[1:] + np.arange(len(first))]
+    return ids, np.diff(last, prepend=0)
 
 
 def _written(encoder: Encoder, ids: list[int]) -> tuple[int, str, str]:

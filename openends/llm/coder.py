@@ -18,109 +18,138 @@ import zlib
 import numpy as np
 
 BLOCK = 4096
-MAGIC = b"OEI1"
+MAGIC = b"OEI2"
 # Slots of the order-1 and order-2 memories of a block.
 SLOTS_BITS = 12
 # Order-0 counts are scaled to this total.
 SCALE_BITS = 20
-MIX_STEP, MIX_LIMIT = 24, 4096
-TOP = np.uint64(1 << 56)
-BOTTOM = np.uint64(1 << 48)
-HASH = np.uint64(0x9E3779B97F4A7C15)
+# Ids up to this many are ranked by a table, larger ones by sorting.
+TABLE_IDS = 1 << 22
+# Parts of the mixture are of 2^16; a step moves them by 1/2^MIX_SHIFT of what is missing, about FLOOR is left to each.
+MIX_SHIFT, FLOOR = 6, 32
+# The parts a block begins with: of order 2, and of order 1 in what it leaves, by how often each was right lately.
+FIRST_TWO, FIRST_ONE = np.array([0.05, 0.4, 0.6, 0.8]), np.array([0.05, 0.2, 0.4, 0.6])
+WORD, HIGH = np.uint64(32), np.uint64(1 << 32)
+HASH, TURN = np.uint64(0x9E3779B97F4A7C15), np.uint64(0x1000193)
+# A slot holds a rank and, in its last two bits, how often the rank was right lately.
+EMPTY = np.uint32(0xFFFFFFFC)
+UP = (65536 - 2 * FLOOR) >> MIX_SHIFT
+KEEP = np.uint64(((0xFFFF >> MIX_SHIFT) << 16) | (0xFFFF >> MIX_SHIFT))
+# What both bounds rise by when order 2, order 1 or neither was right.
+RISE = np.array([UP << 16 | UP, UP << 16, 0], dtype=np.uint64)
 
 
 class CorruptBlock(ValueError):
     """A block whose ids do not have the checksum written with it."""
 
 
-def order_zero(ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """(distinct ids, their frequencies of total 2^SCALE_BITS, each at least 1)."""
-    values, counts = np.unique(ids, return_counts=True)
-    if len(values) >= 1 << SCALE_BITS:
-        raise ValueError("more distinct ids than the scale of frequencies holds")
+def ranked(ids: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(distinct ids, how often each occurs, the place of every id among them)."""
+    if ids.max() < TABLE_IDS:
+        counts = np.bincount(ids)
+        values = np.flatnonzero(counts)
+        places = np.cumsum(counts > 0, dtype=np.uint32) - np.uint32(1)
+        return values.astype(np.uint32), counts[values], places.take(ids)
+    values, places, counts = np.unique(ids, return_inverse=True, return_counts=True)
+    return values.astype(np.uint32), counts, places.astype(np.uint32)
+
+
+def order_zero(counts: np.ndarray) -> np.ndarray:
+    """Frequencies of total 2^SCALE_BITS, each at least 1."""
     total = 1 << SCALE_BITS
-    freq = np.maximum(1, counts * (total - len(values)) // counts.sum()).astype(np.int64)
+    if len(counts) >= total:
+        raise ValueError("more distinct ids than the scale of frequencies holds")
+    freq = np.maximum(1, counts * (total - len(counts)) // counts.sum()).astype(np.int64)
     freq[np.argmax(freq)] += total - freq.sum()
-    return values.astype(np.uint32), freq
+    return freq
+
+
+def ranges(freq: np.ndarray) -> np.ndarray:
+    """Where each rank starts in the scale (upper half) and its frequency (lower half)."""
+    freq = freq.astype(np.uint64)
+    return (np.cumsum(freq) - freq) << WORD | freq
+
+
+def _start() -> np.ndarray:
+    """The mixture by context; where both orders expect the same, order 1 has the least part."""
+    two, one, same = np.meshgrid(np.arange(4), np.arange(4), np.arange(2), indexing="ij")
+    first = FIRST_TWO[two]
+    second = first + (1 - first) * np.where(same == 1, 0.0, FIRST_ONE[one])
+    ends = np.clip([first * 65536, second * 65536], FLOOR, 65536 - 3 * FLOOR).astype(np.uint64)
+    return (ends[1] << np.uint64(16) | ends[0]).ravel()
+
+
+START = _start()
 
 
 class Model:
-    """The state of the lanes: memories of orders 1 and 2 and the mixture's counts."""
+    """The state of the lanes: memories of orders 1 and 2 and the mixture.
+
+    The two orders are rows of one array, order 1 first. The mixture of a context is two
+    bounds in one number: where "order 2 is right" ends, and, from bit 16 on, "order 1 is right".
+    """
 
     def __init__(self, lanes: int):
         slots = 1 << SLOTS_BITS
-        self.rows = np.arange(lanes)
+        self.memory = np.full(2 * lanes * slots, EMPTY, dtype=np.uint32)
+        self.mix = np.tile(START, lanes)
+        lane = np.arange(lanes, dtype=np.uint64)
+        self.slots = np.stack([2 * lane, 2 * lane + 1]) << np.uint64(SLOTS_BITS)
+        self.contexts = lane.astype(np.uint32) * np.uint32(32)
         self.last = np.zeros((2, lanes), dtype=np.uint64)
-        self.seen = np.zeros((2, lanes * slots), dtype=np.uint32)
-        self.trust = np.zeros((2, lanes * slots), dtype=np.uint8)
-        self.mix = np.tile(np.array([8, 4, 24], dtype=np.int64), (lanes * 32, 1))
-
-    def predict(self, n: int) -> None:
-        """Predictions and the mixture's cumulative counts for the first `n` lanes."""
-        before, last = self.last[0, :n], self.last[1, :n]
-        shift = np.uint64(64 - SLOTS_BITS)
-        base = self.rows[:n] << SLOTS_BITS
-        one = ((last + np.uint64(1)) * HASH) >> shift
-        two = (((before + np.uint64(1)) * np.uint64(0x1000193) + last) * HASH) >> shift
-        self.at = (base + one.astype(np.int64), base + two.astype(np.int64))
-        self.guess = (self.seen[0][self.at[0]], self.seen[1][self.at[1]])
-        sure = (self.trust[0][self.at[0]], self.trust[1][self.at[1]])
-        same = (self.guess[0] == self.guess[1]).astype(np.int64)
-        self.context = ((self.rows[:n] * 4 + sure[1]) * 4 + sure[0]) * 2 + same
-        self.counts = self.mix[self.context]
-
-    def update(self, n: int, ids: np.ndarray, choice: np.ndarray) -> None:
-        self.counts[self.rows[:n], choice] += MIX_STEP
-        large = self.counts.sum(axis=1) > MIX_LIMIT
-        if large.any():
-            self.counts[large] = (self.counts[large] + 1) >> 1
-        self.mix[self.context] = self.counts
-        for order in (0, 1):
-            at, right = self.at[order], self.guess[order] == ids + 1
-            trust = self.trust[order][at]
-            self.trust[order][at] = np.where(right, np.minimum(trust + 1, 3), trust >> 1)
-            self.seen[order][at] = ids + 1
-        self.last[0, :n] = self.last[1, :n]
-        self.last[1, :n] = ids
-
-
-class Range:
-    """low and range of each lane, and what moves the top byte out."""
+        self.hashed = np.zeros((2, lanes), dtype=np.uint64)
+        self.held = np.zeros((2, lanes), dtype=np.uint32)
+        self.parts = np.zeros(lanes, dtype=np.uint64)
 
-    def __init__(self, lanes: int):
-        self.low = np.zeros(lanes, dtype=np.uint64)
-        self.range = np.full(lanes, (1 << 64) - 1, dtype=np.uint64)
-
-    def narrow(self, rows: np.ndarray, start: np.ndarray, size: np.ndarray, unit: np.ndarray) -> None:
-        """Take one part of the range. The mixture and an order-0 id after it need 32 of its
-        at least 48 bits, so top bytes need to move out once per step only."""
-        self.low[rows] += start.astype(np.uint64) * unit
-        self.range[rows] = size.astype(np.uint64) * unit
-
-    def ready(self, rows: np.ndarray | slice) -> np.ndarray:
-        """Lanes of `rows` whose top byte is settled, or whose range is too small to go on."""
-        low, wide = self.low[rows], self.range[rows]
-        settled = (low ^ (low + wide)) < TOP
-        found = np.flatnonzero(settled | (wide < BOTTOM))
-        small = found[~settled[found]]
-        lanes = found if isinstance(rows, slice) else rows[found]
-        if len(small):
-            at = small if isinstance(rows, slice) else rows[small]
-            self.range[at] = (np.uint64(0) - self.low[at]) & (BOTTOM - np.uint64(1))
-        return lanes
+    def predict(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """What both orders expect, and the ends of "order 2" and "order 1" in parts of 2^16."""
+        np.multiply(self.last, HASH, out=self.hashed)
+        self.hashed >>= np.uint64(64 - SLOTS_BITS)
+        self.hashed += self.slots
+        self.at = self.hashed.view(np.int64)
+        held = self.memory.take(self.at, out=self.held, mode="clip")
+        self.trust = held & np.uint32(3)
+        self.guess = held >> np.uint32(2)
+        context = self.trust[1] << np.uint32(3)
+        context += self.trust[0] << np.uint32(1)
+        context += self.guess[0] == self.guess[1]
+        context += self.contexts
+        self.context = context.astype(np.int64)
+        self.mix.take(self.context, out=self.parts, mode="clip")
+        return self.guess, self.parts & np.uint64(0xFFFF), (self.parts >> np.uint64(16)) + np.uint64(FLOOR)
 
-    def shift(self, rows: np.ndarray) -> None:
-        self.low[rows] <<= np.uint64(8)
-        self.range[rows] <<= np.uint64(8)
+    def update(self, now: np.ndarray, not_two: np.ndarray, neither: np.ndarray) -> None:
+        moved = self.parts >> np.uint64(MIX_SHIFT)
+        moved &= KEEP
+        self.parts -= moved
+        self.parts += RISE.take(not_two.view(np.uint8) + neither.view(np.uint8))
+        self.mix[self.context] = self.parts
+        right = self.guess == now
+        again = right & (self.trust > 0)
+        # trust: one more if right, up to 3, else half; without branches
+        self.trust >>= np.uint32(1)
+        self.trust += right
+        self.trust += again
+        self.trust |= now << np.uint32(2)
+        self.memory[self.at] = self.trust
+        np.multiply(self.last[0], TURN, out=self.last[1])
+        self.last[1] += now
+        self.last[0] = now
 
 
-def _lanes(n: int) -> np.ndarray:
-    """Ids per block of `n` ids; all but the last are full."""
-    lanes = -(-n // BLOCK)
-    lengths = np.full(lanes, BLOCK, dtype=np.int64)
-    if lanes:
-        lengths[-1] = n - BLOCK * (lanes - 1)
-    return lengths
+def split(
+    wide: np.ndarray, two: np.ndarray, one: np.ndarray, not_two: np.ndarray, neither: np.ndarray
+) -> tuple[np.ndarray, np.ndarray]:
+    """Where the chosen part of each lane's range begins, and its size. The masks are factors,
+    as chance decides between the parts and a branch would be guessed wrong."""
+    rest = wide - one
+    one -= two
+    start = two * not_two
+    start += one * neither
+    two *= ~not_two
+    two += one * (not_two ^ neither)
+    two += rest * neither
+    return start, two
 
 
 def encode(ids: np.ndarray) -> bytes:
@@ -128,49 +157,63 @@ def encode(ids: np.ndarray) -> bytes:
     ids = np.ascontiguousarray(ids, dtype=np.uint32)
     if not len(ids):
         return MAGIC + struct.pack("<QIII", 0, 0, 0, 0)
-    values, freq = order_zero(ids)
-    start = np.cumsum(freq) - freq
-    lengths = _lanes(len(ids))
-    lanes = len(lengths)
-    padded = np.zeros(lanes * BLOCK, dtype=np.uint32)
-    padded[: len(ids)] = ids
-    columns = np.ascontiguousarray(padded.reshape(lanes, BLOCK).T)
-    ranks = np.searchsorted(values, columns)
-    model, coder = Model(lanes), Range(lanes)
-    out = np.zeros((lanes, 1024), dtype=np.uint8)
-    filled = np.zeros(lanes, dtype=np.int64)
-
-    def settle(rows: np.ndarray | slice) -> None:
-        nonlocal out
-        while len(rows := coder.ready(rows)):
-            if filled.max() + 16 > out.shape[1]:
-                out = np.concatenate([out, np.zeros_like(out)], axis=1)
-            out[rows, filled[rows]] = (coder.low[rows] >> np.uint64(56)).astype(np.uint8)
-            filled[rows] += 1
-            coder.shift(rows)
-
-    for step in range(int(lengths[0])):
-        n = lanes if step < lengths[-1] else lanes - 1
-        rows, now, rank = model.rows[:n], columns[step, :n], ranks[step, :n]
-        model.predict(n)
-        choice = np.where(model.guess[1] == now + 1, 0, np.where(model.guess[0] == now + 1, 1, 2))
-        c0, c1, c2 = model.counts[:, 0], model.counts[:, 1], model.counts[:, 2]
-        begin = np.where(choice == 0, 0, np.where(choice == 1, c0, c0 + c1))
-        size = model.counts[rows, choice]
-        coder.narrow(rows, begin, size, coder.range[:n] // (c0 + c1 + c2).astype(np.uint64))
-        fresh = np.flatnonzero(choice == 2)
-        if len(fresh):
-            unit = coder.range[fresh] >> np.uint64(SCALE_BITS)
-            coder.narrow(fresh, start[rank[fresh]], freq[rank[fresh]], unit)
-        settle(slice(0, n))
-        model.update(n, now, choice)
-    table = zlib.compress(values.tobytes() + freq.astype(np.uint32).tobytes())
+    values, counts, places = ranked(ids)
+    freq = order_zero(counts)
+    scale = ranges(freq)
+    lanes, steps = -(-len(ids) // BLOCK), min(len(ids), BLOCK)
+    places.resize(lanes * steps, refcheck=False)  # the last block is coded to its end with rank 0
+    columns = np.ascontiguousarray(places.reshape(lanes, steps).T)
+    model = Model(lanes)
+    low = np.zeros(lanes, dtype=np.uint64)
+    wide = np.full(lanes, (1 << 64) - 1, dtype=np.uint64)
+    room = steps + 1  # a step moves out one word at most
+    out = np.zeros(lanes * room, dtype=np.uint32)
+    ends = np.arange(lanes) * room
+
+    def carry(over: np.ndarray) -> None:
+        """`low` of these lanes has passed 2^64: one more in the word before, and on where that becomes 0."""
+        at = ends[over] - 1
+        while len(at):
+            out[at] += np.uint32(1)
+            at = at[out[at] == 0] - 1
+
+    for now in columns:
+        guess, two, one = model.predict()
+        unit = wide >> np.uint64(16)
+        two *= unit
+        one *= unit
+        right = guess == now
+        not_two = ~right[1]
+        neither = not_two & ~right[0]
+        add, wide = split(wide, two, one, not_two, neither)
+        fresh = neither.nonzero()[0]
+        part = scale.take(now.take(fresh))
+        unit = wide.take(fresh) >> np.uint64(SCALE_BITS)
+        add[fresh] += (part >> WORD) * unit
+        wide[fresh] = (part & (HIGH - np.uint64(1))) * unit
+        low += add
+        carry((low < add).nonzero()[0])
+        small = (wide < HIGH).nonzero()[0]
+        if len(small):
+            at = ends[small]
+            head = low[small]
+            out[at] = head >> WORD
+            ends[small] = at + 1
+            low[small] = head << WORD
+            wide[small] <<= WORD
+        model.update(now, not_two, neither)
+    # The range holds a number whose last word is 0, which is not written.
+    low += HIGH - np.uint64(1)
+    carry((low < HIGH - np.uint64(1)).nonzero()[0])
+    out[ends] = low >> WORD
+    out = out.astype("<u4", copy=False).reshape(lanes, room)
+    used = (ends + 1) - np.arange(lanes) * room
+    table = zlib.compress(values.astype("<u4").tobytes() + freq.astype("<u4").tobytes())
     written = [MAGIC, struct.pack("<QIII", len(ids), lanes, len(values), len(table)), table]
     for lane in range(lanes):
-        tail = int(coder.low[lane]).to_bytes(8, "big")
-        body = out[lane, : filled[lane]].tobytes() + tail
-        block = ids[lane * BLOCK : lane * BLOCK + int(lengths[lane])]
-        written += [struct.pack("<III", len(block), len(body), zlib.crc32(block.tobytes())), body]
+        block = ids[lane * BLOCK : (lane + 1) * BLOCK]
+        body = out[lane, : used[lane]].tobytes()
+        written += [struct.pack("<III", len(block), len(body), zlib.crc32(block)), body]
     return b"".join(written)
 
 
@@ -183,59 +226,53 @@ def decode(data: bytes) -> np.ndarray:
     if not lanes:
         return np.zeros(0, dtype=np.uint32)
     table = zlib.decompress(data[at : at + size])
-    values = np.frombuffer(table[: 4 * distinct], dtype=np.uint32)
-    freq = np.frombuffer(table[4 * distinct :], dtype=np.uint32).astype(np.int64)
-    ends = np.cumsum(freq)
-    start = ends - freq
+    values = np.frombuffer(table[: 4 * distinct], dtype="<u4")
+    freq = np.frombuffer(table[4 * distinct :], dtype="<u4")
+    scale = ranges(freq)
     slot = np.repeat(np.arange(distinct, dtype=np.uint32), freq)
     at += size
-    heads, bodies = [], []
+    heads, bodies, after = [], [], np.zeros(1, dtype=np.uint32)
     for _ in range(lanes):
         head = struct.unpack_from("<III", data, at)
         at += 12
         heads.append(head)
-        bodies.append(np.frombuffer(data, dtype=np.uint8, count=head[1], offset=at))
+        bodies += [np.frombuffer(data, dtype="<u4", count=head[1] // 4, offset=at), after]
         at += head[1]
-    lengths = np.array([h[0] for h in heads], dtype=np.int64)
-    body = np.zeros((lanes, max(len(b) for b in bodies) + 16), dtype=np.uint8)
-    for lane, b in enumerate(bodies):
-        body[lane, : len(b)] = b
-    model, coder = Model(lanes), Range(lanes)
-    code = np.zeros(lanes, dtype=np.uint64)
-    for i in range(8):
-        code = (code << np.uint64(8)) | body[:, i].astype(np.uint64)
-    used = np.full(lanes, 8, dtype=np.int64)
-
-    def settle(rows: np.ndarray | slice) -> None:
-        while len(rows := coder.ready(rows)):
-            code[rows] = (code[rows] << np.uint64(8)) | body[rows, used[rows]].astype(np.uint64)
-            used[rows] += 1
-            coder.shift(rows)
-
-    columns = np.zeros((BLOCK, lanes), dtype=np.uint32)
-    for step in range(int(lengths[0])):
-        n = lanes if step < lengths[-1] else lanes - 1
-        rows = model.rows[:n]
-        model.predict(n)
-        c0, c1, c2 = model.counts[:, 0], model.counts[:, 1], model.counts[:, 2]
-        unit = coder.range[:n] // (c0 + c1 + c2).astype(np.uint64)
-        value = ((code[:n] - coder.low[:n]) // unit).astype(np.int64)
-        choice = np.where(value < c0, 0, np.where(value < c0 + c1, 1, 2))
-        begin = np.where(choice == 0, 0, np.where(choice == 1, c0, c0 + c1))
-        coder.narrow(rows, begin, model.counts[rows, choice], unit)
-        now = np.where(choice == 0, model.guess[1], model.guess[0]) - np.uint32(1)
-        fresh = np.flatnonzero(choice == 2)
-        if len(fresh):
-            unit = coder.range[fresh] >> np.uint64(SCALE_BITS)
-            value = ((code[fresh] - coder.low[fresh]) // unit).astype(np.int64)
-            rank = slot[np.minimum(value, len(slot) - 1)]
-            coder.narrow(fresh, start[rank], freq[rank], unit)
-            now[fresh] = values[rank]
-        settle(slice(0, n))
-        columns[step, :n] = now
-        model.update(n, now, choice)
-    ids = np.ascontiguousarray(columns.T)
+    starts = np.cumsum([0, *map(len, bodies)])[:-1:2]
+    body = np.concatenate(bodies).astype(np.uint64)
+    code = body[starts] << WORD | body[starts + 1]
+    ends = starts + 2
+    model = Model(lanes)
+    wide = np.full(lanes, (1 << 64) - 1, dtype=np.uint64)
+    columns = np.zeros((min(total, BLOCK), lanes), dtype=np.uint32)
+    for now in columns:
+        guess, two, one = model.predict()
+        unit = wide >> np.uint64(16)
+        two *= unit
+        one *= unit
+        not_two, neither = code >= two, code >= one
+        less, wide = split(wide, two, one, not_two, neither)
+        code -= less
+        np.subtract(guess[0], guess[1], out=now)
+        now *= not_two
+        now += guess[1]
+        fresh = neither.nonzero()[0]
+        unit = wide.take(fresh) >> np.uint64(SCALE_BITS)
+        left = code.take(fresh)
+        rank = slot.take((left // unit).view(np.int64), mode="clip")
+        part = scale.take(rank)
+        code[fresh] = left - (part >> WORD) * unit
+        wide[fresh] = (part & (HIGH - np.uint64(1))) * unit
+        now[fresh] = rank
+        small = (wide < HIGH).nonzero()[0]
+        if len(small):
+            at = ends[small]
+            code[small] = code[small] << WORD | body.take(at, mode="clip")
+            ends[small] = at + 1
+            wide[small] <<= WORD
+        model.update(now, not_two, neither)
+    ids = values.take(np.ascontiguousarray(columns.T), mode="clip")
     for lane, (count, _, checksum) in enumerate(heads):
-        if zlib.crc32(ids[lane, :count].tobytes()) != checksum:
+        if zlib.crc32(ids[lane, :count]) != checksum:
             raise CorruptBlock(f"block {lane} does not match its checksum")
     return ids.reshape(-1)[:total]

@@ -6,24 +6,39 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from openends.llm import coder
-from openends.llm.bpe import encoder, packed_ids
+from openends.llm.bpe import column_ids, encoder, packed_ids
 from openends.llm.common import texts
 from openends.sources.shared import new_folder
 
 END = 0
 # Distinct words kept by a worker; files need their packed ids only.
 CACHED = 500_000
-# Ids of a file: enough blocks to code side by side, and some tens of MB in a worker.
-FILE_IDS = 3_000_000
+# A file ends at this many ids: enough blocks to code side by side, and some tens of MB in a worker.
+FILE_IDS = 4_000_000
+# Bytes of text whose words are looked up together.
+SLICE = 4 << 20
 # Files whose places (16 bytes each) may be sent to every task; beyond that they are joined by a shuffle.
 MAX_BROADCAST_FILES = 500_000
 FILES = "part int, number int, first_doc bigint, n_ids bigint, doc_ids binary, lengths binary, body binary"
 
 
+def slices(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+    """Runs of rows with about SLICE bytes of text; a longer text is a run of its own or ends one."""
+    if not len(batch):
+        return
+    size = pc.binary_length(batch.column("text")).to_numpy(zero_copy_only=False)
+    before = np.cumsum(size, dtype=np.int64) - size
+    starts = np.flatnonzero(np.diff(before // SLICE, prepend=-1))
+    for start, end in zip(starts, [*starts[1:], len(batch)], strict=True):
+        yield batch.slice(start, end - start)
+
+
 def write_token_files(
     docs: DataFrame, path: str, folder: str, id_col: str = "doc_id", text_col: str = "text"
 ) -> None:
@@ -37,43 +52,46 @@ def write_token_files(
     Null texts are empty (one end id). Rows without an id are left out, rows that repeat an id count once.
     """
 
-    def write(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         ids_of = encoder(path, packed_ids, CACHED)
-        end = END.to_bytes(4, "little")
-        doc_ids: list[int] = []
-        parts: list[bytes] = []
+        doc_ids: list[np.ndarray] = []
+        lengths: list[np.ndarray] = []
+        parts: list[np.ndarray] = []
         size = number = part = 0
 
-        def file() -> pd.DataFrame:
-            lengths = np.array([len(p) // 4 for p in parts], dtype=np.int64)
-            ids = np.frombuffer(b"".join(parts), dtype=np.uint32)
-            return pd.DataFrame(
-                {
-                    "part": [part],
-                    "number": [number],
-                    "first_doc": [doc_ids[0]],
-                    "n_ids": [len(ids)],
-                    "doc_ids": [np.array(doc_ids, dtype=np.int64).tobytes()],
-                    "lengths": [lengths.tobytes()],
-                    "body": [coder.encode(ids)],
-                }
+        def file() -> pa.RecordBatch:
+            ids = np.concatenate(parts)
+            parts.clear()
+            return pa.RecordBatch.from_arrays(
+                [
+                    pa.array([part], pa.int32()),
+                    pa.array([number], pa.int32()),
+                    pa.array([doc_ids[0][0]], pa.int64()),
+                    pa.array([len(ids)], pa.int64()),
+                    pa.array([np.concatenate(doc_ids).tobytes()], pa.binary()),
+                    pa.array([np.concatenate(lengths).tobytes()], pa.binary()),
+                    pa.array([coder.encode(ids)], pa.binary()),
+                ],
+                names=["part", "number", "first_doc", "n_ids", "doc_ids", "lengths", "body"],
             )
 
-        for frame in frames:
-            for part, doc_id, text in zip(frame["part"], frame["doc_id"], frame["text"], strict=True):
-                packed = b"".join(ids_of.values(text)) + end
-                doc_ids.append(doc_id)
-                parts.append(packed)
-                size += len(packed) // 4
+        for batch in batches:
+            for some in slices(batch):
+                part = some.column("part")[0].as_py()
+                ids, n = column_ids(ids_of, some.column("text"), END)
+                doc_ids.append(some.column("doc_id").to_numpy())
+                lengths.append(n)
+                parts.append(ids)
+                size += len(ids)
                 if size >= FILE_IDS:
                     yield file()
-                    doc_ids, parts, size, number = [], [], 0, number + 1
+                    doc_ids, lengths, parts, size, number = [], [], [], 0, number + 1
         if parts:
             yield file()
 
     ordered = texts(docs, id_col, text_col).repartitionByRange("doc_id").sortWithinPartitions("doc_id")
     ordered = ordered.select(F.spark_partition_id().alias("part"), "doc_id", "text")
-    ordered.mapInPandas(write, FILES).write.parquet(folder)
+    ordered.mapInArrow(write, FILES).write.parquet(folder)
 
 
 def read_token_files(files: DataFrame) -> DataFrame:

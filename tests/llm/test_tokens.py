@@ -1,8 +1,10 @@
 import hashlib
 import random
+import struct
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -215,3 +217,74 @@ def test_ranks_within_a_hot_group(spark):
     for r in got:
         by_length.setdefault(r.length, []).append(r["rank"])
     assert all(sorted(v) == list(range(len(v))) for v in by_length.values())
+
+
+def column(name, texts, end=7):
+    ids, lengths = bpe.column_ids(ENCODERS[name], pa.array(texts, pa.string()), end)
+    assert lengths.sum() == len(ids)
+    return [part.tolist() for part in np.split(ids, np.cumsum(lengths)[:-1])]
+
+
+@pytest.mark.parametrize("name", [WORDS, BYTES])
+def test_columns_encode_as_the_library_does(name):
+    spaces = [chr(c) for c in [*range(9, 14), *range(28, 33), 0x85, 0xA0, 0x1680, 0x2003, 0x2028, 0x2029, 0x202F, 0x3000]]
+    rng = random.Random(5)
+    glued = ["".join(rng.choice(["a", "Bc", "é", ".", "'s", "<|endoftext|>", " ", *spaces]) for _ in range(30)) for _ in range(800)]
+    texts = [*HARD, *glued, *(f"{a} {b}" for a in HARD for b in HARD)]
+    assert column(name, texts) == [[*library_ids(name, t), 7] for t in texts]
+    assert column(name, ["b a", "", "a b"])[1] == [7]
+
+
+def test_new_words_are_encoded_many_at_a_time():
+    """Before, each word that was not in the cache was a call of the library."""
+    encode = bpe.Encoder(tokenizer_path(BYTES), bpe.packed_ids, cached=3_000)
+    calls, library = [], encode.library
+
+    class Counted:
+        def encode(self, text, **kwargs):
+            calls.append(text)
+            return library.encode(text, **kwargs)
+
+    encode.library = Counted()
+    texts = [f"w{i}x, w{i + 1}y" + " and" * 50 for i in range(4_000)]
+    ids, _ = bpe.column_ids(encode, pa.array(texts[:100]), 0)
+    single = sum(" " not in c.strip() for c in calls)
+    assert single <= 100 and len(calls) <= 105
+    many, _ = bpe.column_ids(encode, pa.array(texts), 0)
+    assert many.tolist() == [i for t in texts for i in [*library_ids(BYTES, t), 0]]
+    assert len(encode) <= 3_000 and len(encode.older) <= 3_000
+
+
+def test_carries_pass_through_words():
+    """Likely and unlikely ids by turns; the range coder's words must take carries over block ends too."""
+    rng = np.random.default_rng(3)
+    ids = np.where(rng.random(300_000) < 0.02, rng.integers(0, 200_000, 300_000), 5).astype(np.uint32)
+    data = coder.encode(ids)
+    assert np.array_equal(coder.decode(data), ids) and len(data) < 0.25 * len(ids) + 5 * 4_000
+
+
+def test_a_step_moves_one_word_out_at_most():
+    """Before, bytes moved out one by one, up to four rounds over the lanes a step."""
+    ids = np.random.default_rng(1).integers(0, 50_000, 8 * coder.BLOCK).astype(np.uint32)
+    data = coder.encode(ids)
+    total, lanes, _, size = struct.unpack_from("<QIII", data, 4)
+    at = 4 + struct.calcsize("<QIII") + size
+    for _ in range(lanes):
+        count, used, _ = struct.unpack_from("<III", data, at)
+        assert used % 4 == 0 and used // 4 <= count + 1  # whole words, one a step at most
+        at += 12 + used
+    assert at == len(data) and total == len(ids)
+
+
+def test_a_file_ends_within_a_batch(spark, odd_docs, odd_texts, monkeypatch):
+    expected, start = {}, 0
+    for i, text in odd_texts.items():
+        packed = np.array([*library_ids(BYTES, text), 0], dtype=np.uint32)
+        expected[i] = (start, len(packed), zlib.crc32(packed.tobytes()))
+        start += len(packed)
+    monkeypatch.setattr(token_files, "SLICE", 50)
+    sizes = [len(b) for b in token_files.slices(pa.RecordBatch.from_pydict({"text": ["a" * 30] * 10 + ["b" * 500, ""]}))]
+    assert sum(sizes) == 12 and len(sizes) > 5
+    assert list(token_files.slices(pa.RecordBatch.from_pydict({"text": pa.array([], pa.string())}))) == []
+    rows = token_files.round_trip(odd_docs.coalesce(1), tokenizer_path(BYTES)).collect()
+    assert {r.doc_id: tuple(r)[1:] for r in rows} == expected
