@@ -28,7 +28,7 @@ from openends.llm.common import texts
 LONG = 128
 LEAF = 64
 # Words that are new to the cache and encoded in one call of the library.
-TOGETHER = 200
+TOGETHER = 100
 # Parts in one generation of the cache; there are two.
 CACHED = 300_000
 
@@ -135,8 +135,8 @@ class Encoder(dict):
             self.clear()
         self[part] = value
 
-    def follow(self, words: list[str]) -> list[Any]:
-        """Values of words as they follow a space; what is new is encoded many words in one call of the library.
+    def follow(self, words: list[str]) -> list[bytes]:
+        """Packed ids of words as they follow a space; new ones are encoded many in one call of the library.
 
         Such words are encoded side by side, each with its space. No token crosses the space before a word
         that begins with no white space, and the first ids of words, and only these, are of tokens with
@@ -144,28 +144,29 @@ class Encoder(dict):
         """
         parts = [" " + w for w in words]
         values = list(map(self.get, parts))
-        missing = [i for i, v in enumerate(values) if v is None]
         new = []
-        for i in missing:
+        for i in [i for i, v in enumerate(values) if v is None]:
             part = parts[i]
             if part in self.older or not 1 < len(part) <= LONG or part[1].isspace():
                 values[i] = self[part]
             else:
                 new.append(i)
         for k in range(0, len(new), TOGETHER):
-            some = new[k : k + TOGETHER]
-            if self.special and self.specials.search("".join([parts[i] for i in some])):
-                for i in some:
+            places = new[k : k + TOGETHER]
+            some = [parts[i] for i in places]
+            text = "".join(some)
+            if self.special and self.specials.search(text):
+                for i in places:
                     values[i] = self[parts[i]]
                 continue
-            text = "".join([parts[i] for i in some])
-            ids = self.library.encode(text, add_special_tokens=False).ids
-            starts = np.flatnonzero(self.spaced[ids]).tolist()
+            ids = np.array(self.library.encode_batch_fast([text], add_special_tokens=False)[0].ids, dtype="<u4")
+            starts = np.flatnonzero(self.spaced[ids])
             if len(starts) != len(some):
                 raise ValueError("the tokenizer does not cut words at the space before them")
-            for i, a, b in zip(some, starts, [*starts[1:], len(ids)], strict=True):
-                values[i] = self.make(self, ids[a:b])
-                self.keep(parts[i], values[i])
+            packed, at = ids.tobytes(), (4 * starts).tolist()
+            for i, part, a, b in zip(places, some, at, [*at[1:], len(packed)], strict=True):
+                values[i] = packed[a:b]
+                self.keep(part, values[i])
         return values
 
     def parts(self, text: str) -> list[str]:

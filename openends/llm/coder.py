@@ -163,6 +163,7 @@ def encode(ids: np.ndarray) -> bytes:
     lanes, steps = -(-len(ids) // BLOCK), min(len(ids), BLOCK)
     places.resize(lanes * steps, refcheck=False)  # the last block is coded to its end with rank 0
     columns = np.ascontiguousarray(places.reshape(lanes, steps).T)
+    del places
     model = Model(lanes)
     low = np.zeros(lanes, dtype=np.uint64)
     wide = np.full(lanes, (1 << 64) - 1, dtype=np.uint64)
@@ -271,7 +272,8 @@ def decode(data: bytes) -> np.ndarray:
             ends[small] = at + 1
             wide[small] <<= WORD
         model.update(now, not_two, neither)
-    ids = values.take(np.ascontiguousarray(columns.T), mode="clip")
+    del model
+    ids = values.take(columns.T, mode="clip")
     for lane, (count, _, checksum) in enumerate(heads):
         if zlib.crc32(ids[lane, :count]) != checksum:
             raise CorruptBlock(f"block {lane} does not match its checksum")

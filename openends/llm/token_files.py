@@ -19,8 +19,8 @@ from openends.sources.shared import new_folder
 END = 0
 # Distinct words kept by a worker; files need their packed ids only.
 CACHED = 500_000
-# A file ends at this many ids: enough blocks to code side by side, and some tens of MB in a worker.
-FILE_IDS = 4_000_000
+# A file ends at this many ids: enough blocks to code side by side, at about 20 bytes an id in a worker.
+FILE_IDS = 7_000_000
 # Bytes of text whose words are looked up together.
 SLICE = 4 << 20
 # Files whose places (16 bytes each) may be sent to every task; beyond that they are joined by a shuffle.

@@ -229,7 +229,7 @@ def column(name, texts, end=7):
 def test_columns_encode_as_the_library_does(name):
     spaces = [chr(c) for c in [*range(9, 14), *range(28, 33), 0x85, 0xA0, 0x1680, 0x2003, 0x2028, 0x2029, 0x202F, 0x3000]]
     rng = random.Random(5)
-    glued = ["".join(rng.choice(["a", "Bc", "é", ".", "'s", "<|endoftext|>", " ", *spaces]) for _ in range(30)) for _ in range(800)]
+    glued = ["".join(rng.choice(["a", "Bc", "é", ".", "'s", ")\".", "²", "<|endoftext|>", " ", *spaces]) for _ in range(30)) for _ in range(800)]
     texts = [*HARD, *glued, *(f"{a} {b}" for a in HARD for b in HARD)]
     assert column(name, texts) == [[*library_ids(name, t), 7] for t in texts]
     assert column(name, ["b a", "", "a b"])[1] == [7]
@@ -245,11 +245,15 @@ def test_new_words_are_encoded_many_at_a_time():
             calls.append(text)
             return library.encode(text, **kwargs)
 
+        def encode_batch_fast(self, texts, **kwargs):
+            calls.extend(texts)
+            return library.encode_batch_fast(texts, **kwargs)
+
     encode.library = Counted()
     texts = [f"w{i}x, w{i + 1}y" + " and" * 50 for i in range(4_000)]
     ids, _ = bpe.column_ids(encode, pa.array(texts[:100]), 0)
     single = sum(" " not in c.strip() for c in calls)
-    assert single <= 100 and len(calls) <= 105
+    assert single <= 105 and len(calls) <= 110
     many, _ = bpe.column_ids(encode, pa.array(texts), 0)
     assert many.tolist() == [i for t in texts for i in [*library_ids(BYTES, t), 0]]
     assert len(encode) <= 3_000 and len(encode.older) <= 3_000
