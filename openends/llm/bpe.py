@@ -276,7 +276,9 @@ def column_ids(encoder: Encoder, texts: pa.Array, end: int) -> tuple[np.ndarray,
     lengths = sizes[codes]
     ends = np.cumsum(lengths)
     shift = (np.cumsum(sizes) - sizes)[codes] - (ends - lengths)
-    ids = flat[np.arange(ends[-1] if len(ends) else 0) + np.repeat(shift, lengths)]
+    places = np.repeat(shift, lengths)
+    places += np.arange(len(places))
+    ids = flat.take(places)
     last = ends[offsets[1:] + np.arange(len(first))]
     return ids, np.diff(last, prepend=0)
 

@@ -18,11 +18,13 @@ from openends.sources.shared import new_folder
 
 END = 0
 # Distinct words kept by a worker; files need their packed ids only.
-CACHED = 500_000
+CACHED = 400_000
 # A file ends at this many ids: enough blocks to code side by side, at about 20 bytes an id in a worker.
 FILE_IDS = 7_000_000
-# Bytes of text whose words are looked up together.
-SLICE = 4 << 20
+# Bytes of text whose words are looked up together; rows that come to a writer at once; ids a reader gives out at once.
+SLICE = 8 << 20
+ROWS = 1_500
+GIVEN = 1_000_000
 # Files whose places (16 bytes each) may be sent to every task; beyond that they are joined by a shuffle.
 MAX_BROADCAST_FILES = 500_000
 FILES = "part int, number int, first_doc bigint, n_ids bigint, doc_ids binary, lengths binary, body binary"
@@ -91,7 +93,14 @@ def write_token_files(
 
     ordered = texts(docs, id_col, text_col).repartitionByRange("doc_id").sortWithinPartitions("doc_id")
     ordered = ordered.select(F.spark_partition_id().alias("part"), "doc_id", "text")
-    ordered.mapInArrow(write, FILES).write.parquet(folder)
+    # Whole texts are large rows: with the usual 10,000 a batch takes much of a worker's memory.
+    conf, key = docs.sparkSession.conf, "spark.sql.execution.arrow.maxRecordsPerBatch"
+    usual = conf.get(key)
+    conf.set(key, str(min(ROWS, int(usual)) if int(usual) > 0 else ROWS))
+    try:
+        ordered.mapInArrow(write, FILES).write.parquet(folder)
+    finally:
+        conf.set(key, usual)
 
 
 def read_token_files(files: DataFrame) -> DataFrame:
@@ -103,15 +112,18 @@ def read_token_files(files: DataFrame) -> DataFrame:
                 ids = coder.decode(row.body)
                 lengths = np.frombuffer(row.lengths, dtype=np.int64)
                 ends = np.cumsum(lengths)
-                yield pd.DataFrame(
-                    {
-                        "doc_id": np.frombuffer(row.doc_ids, dtype=np.int64),
-                        "start": row.before + ends - lengths,
-                        "ids": [
-                            ids[e - n : e].tobytes() for e, n in zip(ends, lengths, strict=True)
-                        ],
-                    }
-                )
+                numbers = np.frombuffer(row.doc_ids, dtype=np.int64)
+                starts = ends - lengths
+                cuts = np.flatnonzero(np.diff(starts // GIVEN, prepend=-1))
+                for a, b in zip(cuts, [*cuts[1:], len(ends)], strict=True):
+                    some = zip(starts[a:b].tolist(), ends[a:b].tolist(), strict=True)
+                    yield pd.DataFrame(
+                        {
+                            "doc_id": numbers[a:b],
+                            "start": row.before + starts[a:b],
+                            "ids": [ids[start:end].tobytes() for start, end in some],
+                        }
+                    )
 
     # One narrow row per file, some ten million ids each.
     order = Window.orderBy("first_doc")
